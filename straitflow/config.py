@@ -99,6 +99,7 @@ class FeatureSettings:
     macro_series: tuple[str, ...] = MACRO_SERIES
     carry_in: bool = False
     dedup_after_filter: bool = False
+    prune_keys: bool = True
 
     def scoped_boxes(self) -> tuple[Box, ...]:
         """Boxes that reach the result; choosing them before tagging spares the rest."""

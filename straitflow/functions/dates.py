@@ -11,8 +11,16 @@ def _col(c: Column | str) -> Column:
 
 
 def date_from_int(c: Column | str) -> Column:
-    """yyyymmdd integer to date; null when it names no calendar day."""
-    return F.try_to_date(_col(c).cast("string"), "yyyyMMdd")
+    """yyyymmdd integer to date; null when it names no calendar day.
+
+    Arithmetic instead of a text pattern: several times cheaper per row. Counting days
+    on from the first of the month leaves the month exactly when the day is not in it.
+    """
+    n = _col(c)
+    year, month, day = F.floor(n / 10000).cast("int"), F.floor(n / 100).cast("int") % 100, n % 100
+    known = year.between(1000, 9999) & month.between(1, 12) & day.between(1, 31)
+    counted = F.when(known, F.date_add(F.make_date(year, month, F.lit(1)), (day - 1).cast("int")))
+    return F.when(F.month(counted) == month, counted)
 
 
 def int_from_date(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from straitflow.config import DEDUP_KEYS, DEDUP_ORDER, SUPPLY_CHAIN_ROOTS
@@ -12,6 +12,7 @@ from straitflow.functions.dates import date_from_int
 
 
 def with_event_date(events: DataFrame) -> DataFrame:
+    """Adds ``event_date``. Done once at ingest; the store holds the result."""
     return events.withColumn("event_date", date_from_int("SQLDATE"))
 
 
@@ -38,6 +39,31 @@ def dedup_events(
     return events.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
+# Upper bound of the broadcast in dedup_matching: 4M long values, well under 200 MB.
+KEY_SLOTS = 1 << 22
+
+
+def dedup_matching(
+    events: DataFrame,
+    predicate: Column,
+    keys: Sequence[str] = DEDUP_KEYS,
+    order: Sequence[str] = DEDUP_ORDER,
+    slots: int = KEY_SLOTS,
+) -> DataFrame:
+    """``dedup_events(events).filter(predicate)`` for a predicate that few rows pass.
+
+    Only keys with a passing row can come out, so the others need no shuffle. The keys
+    of the passing rows are hashed to ``slots`` numbers, which bounds the broadcast
+    whatever the data, and rows on any other slot are dropped during the scan. Rows
+    that share a slot by accident are merely shuffled in vain. The input is scanned
+    twice: worth it over a stored table, not over an expensive plan.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
+    passing = events.filter(predicate).select(slot.alias("_slot")).distinct()
+    near = events.withColumn("_slot", slot).join(F.broadcast(passing), "_slot", "left_semi")
+    return dedup_events(near.drop("_slot"), keys, order).filter(predicate)
+
+
 def dedup_any(events: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
     """One arbitrary row per key: for callers that need no repeatable survivor."""
     return events.dropDuplicates(list(keys))

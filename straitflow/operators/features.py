@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from straitflow.config import MODEL_INPUTS, PANEL_METRICS, FeatureSettings
-from straitflow.operators.clean import dedup_events, keep_roots, with_event_date
+from straitflow.functions.geo import in_any_box
+from straitflow.operators.clean import (
+    dedup_events,
+    dedup_matching,
+    keep_roots,
+    with_event_date,
+)
 from straitflow.operators.labels import tercile_labels
 from straitflow.operators.panel import daily_panel, rolling_means
 from straitflow.operators.series import date_bounds, macro_daily, price_features
@@ -17,20 +23,36 @@ from straitflow.sources.market import normalise_prices
 from straitflow.sources.schemas import ANALYSIS_COLUMNS
 
 
+def analysis_rows(events: DataFrame) -> DataFrame:
+    """The columns the analysis needs; dates are parsed if the input does not carry them."""
+    dated = events if "event_date" in events.columns else with_event_date(events)
+    return dated.select(*ANALYSIS_COLUMNS)
+
+
 def clean_events(events: DataFrame, settings: FeatureSettings = FeatureSettings()) -> DataFrame:
     """De-duplicate, then keep the wanted root codes.
 
     The order matters: a copy with another code may displace one with a wanted code.
     ``dedup_after_filter`` turns it round.
     """
-    slim = events.select(*ANALYSIS_COLUMNS)
+    slim = analysis_rows(events)
     if settings.dedup_after_filter:
-        return with_event_date(dedup_events(keep_roots(slim, settings.roots)))
-    return with_event_date(keep_roots(dedup_events(slim), settings.roots))
+        return dedup_events(keep_roots(slim, settings.roots))
+    return keep_roots(dedup_events(slim), settings.roots)
 
 
 def tagged_events(events: DataFrame, settings: FeatureSettings = FeatureSettings()) -> DataFrame:
-    return tag_by_expression(clean_events(events, settings), settings.scoped_boxes())
+    """Clean events near a box of the scope, one row per event and box.
+
+    Few events pass the code and box filters, so with ``prune_keys`` the others are kept
+    out of the de-duplication shuffle; the result is the same.
+    """
+    boxes = settings.scoped_boxes()
+    if not settings.prune_keys or settings.dedup_after_filter:
+        return tag_by_expression(clean_events(events, settings), boxes)
+    slim = analysis_rows(events)
+    wanted = F.col("EventRootCode").isin(*settings.roots) & in_any_box(boxes)
+    return tag_by_expression(dedup_matching(slim, wanted), boxes)
 
 
 def keep_boxes(panel: DataFrame, names: tuple[str, ...]) -> DataFrame:

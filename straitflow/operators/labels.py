@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from straitflow.functions.returns import three_way_label
@@ -31,41 +31,36 @@ def return_quantiles(
     )
 
 
-def _one_row(frame: DataFrame) -> Column:
-    """A one-row frame as a struct-valued scalar subquery: no join, no driver round trip."""
-    return frame.select(F.struct(*[F.col(c) for c in frame.columns]).alias("row")).scalar()
-
-
 def tercile_labels(
     prices: DataFrame,
     quantiles: Sequence[float] = (0.33, 0.66),
     fit_before: date | None = None,
 ) -> DataFrame:
-    """Adds ``label`` 0/1/2 by the quantiles of the forward return.
+    """Adds ``label`` 0/1/2 by the quantiles of the commodity's forward returns.
 
-    The thresholds come from the whole price range; ``fit_before`` restricts them to
-    earlier dates, so that labels of a test period do not shape them.
+    The thresholds are taken over the partition the return windows already made, so they
+    cost no second scan and no driver round trip. They cover the whole price range;
+    ``fit_before`` restricts them to earlier dates, so that labels of a test period do
+    not shape them.
     """
-    basis = prices if fit_before is None else prices.filter(F.col("price_date") < F.lit(fit_before))
-    cut = _one_row(return_quantiles(basis, quantiles))
+    basis = F.col("fwd_return_5d")
+    if fit_before is not None:
+        basis = F.when(F.col("price_date") < F.lit(fit_before), basis)
+    q = F.array(*[F.lit(float(x)) for x in quantiles])
+    cut = F.percentile(basis, q).over(Window.partitionBy("commodity"))
+    low, high = F.get("_cut", F.lit(0)), F.get("_cut", F.lit(1))
     return (
         prices.withColumn("_cut", cut)
-        .withColumn(
-            "label", three_way_label(F.col("fwd_return_5d"), F.col("_cut.low"), F.col("_cut.high"))
-        )
+        .withColumn("label", three_way_label(F.col("fwd_return_5d"), low, high))
         .drop("_cut")
     )
 
 
 def high_volatility_labels(prices: DataFrame, quantile: float = 0.66) -> DataFrame:
-    """Adds ``high_volatility``: 1 above the quantile of ``volatility_20d``, else 0."""
-    cut = prices.filter(F.col("volatility_20d").isNotNull()).agg(
-        F.percentile("volatility_20d", F.lit(float(quantile)))
-    )
-    return (
-        prices.withColumn("_cut", cut.scalar())
-        .withColumn("high_volatility", (F.col("volatility_20d") > F.col("_cut")).cast("int"))
-        .drop("_cut")
+    """Adds ``high_volatility``: 1 above the commodity's quantile of ``volatility_20d``, else 0."""
+    cut = F.percentile("volatility_20d", F.lit(float(quantile))).over(Window.partitionBy("commodity"))
+    return prices.withColumn("_cut", cut).select(
+        *prices.columns, (F.col("volatility_20d") > F.col("_cut")).cast("int").alias("high_volatility")
     )
 
 

@@ -78,6 +78,16 @@ def forest(num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH) -> RandomFore
     )
 
 
+def stable_rows(rows: DataFrame, partitions: int = 8) -> DataFrame:
+    """Fixed placement and order, on which the sampling of a seeded forest depends.
+
+    A feature table has one row per day and box, so a fixed number of partitions is enough.
+    """
+    return rows.repartition(partitions, "event_date", "chokepoint").sortWithinPartitions(
+        "event_date", "chokepoint"
+    )
+
+
 def f1_evaluator() -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(
         labelCol="label", predictionCol="prediction", metricName="f1"
@@ -122,7 +132,7 @@ def cross_validate(
     if time_folds:
         train = with_time_folds(train)
         cv = cv.setFoldCol("fold")
-    return cv.fit(train)
+    return cv.fit(stable_rows(train))
 
 
 def fit_forest(
@@ -131,7 +141,7 @@ def fit_forest(
     num_trees: int = NUM_TREES,
     max_depth: int = MAX_DEPTH,
 ) -> PipelineModel:
-    return Pipeline(stages=[assembler(inputs), forest(num_trees, max_depth)]).fit(train)
+    return Pipeline(stages=[assembler(inputs), forest(num_trees, max_depth)]).fit(stable_rows(train))
 
 
 def train_best(train: DataFrame, inputs: Sequence[str] = MODEL_INPUTS, **grid) -> PipelineModel:

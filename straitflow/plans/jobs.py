@@ -9,13 +9,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from straitflow.config import FeatureSettings
-from straitflow.operators.clean import dedup_events, keep_roots, with_event_date
-from straitflow.operators.features import feature_table, keep_from
+from straitflow.operators.clean import dedup_events, keep_roots
+from straitflow.operators.features import analysis_rows, feature_table, keep_from
 from straitflow.operators.tagging import tag_by_expression
 from straitflow.operators.training import importances, metrics, time_split, train_best
 from straitflow.sources.events import read_event_store, scan_events, write_event_store
 from straitflow.sources.market import coalesce_close, scan_macro, scan_wide_prices
-from straitflow.sources.schemas import ANALYSIS_COLUMNS
 
 
 def ingest(spark: SparkSession, raw: str, store: str) -> int:
@@ -78,7 +77,7 @@ def preprocessing_funnel(
     Exact aggregates in one plan. Counters that ride along with a write are cheaper but
     may count a repeated task twice, so they only serve for progress.
     """
-    unique = with_event_date(dedup_events(events.select(*ANALYSIS_COLUMNS)))
+    unique = dedup_events(analysis_rows(events))
     coded = keep_roots(unique, settings.roots)
     flagged = unique.withColumn("_coded", F.col("EventRootCode").isin(*settings.roots))
     steps = flagged.agg(F.count("*").alias("unique"), F.count_if("_coded").alias("coded"))

@@ -71,10 +71,6 @@ def _brief(df: DataFrame, *extra: str) -> DataFrame:
     return _rounded(df.select(*[F.col(c).alias(n) for c, n in _BRIEF.items()], *extra))
 
 
-def _dated(spark: SparkSession, d: str) -> DataFrame:
-    return clean.with_event_date(sample.sample_events(spark, d))
-
-
 def _tagged(spark: SparkSession, d: str, settings: FeatureSettings = ALL_BOXES) -> DataFrame:
     return features.tagged_events(sample.sample_events(spark, d), settings)
 
@@ -251,24 +247,24 @@ def parse_event_date(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def event_date_parts(spark: SparkSession, d: str) -> DataFrame:
-    return clean.with_date_parts(_dated(spark, d)).select(
+    return clean.with_date_parts(sample.sample_events(spark, d)).select(
         F.col("GLOBALEVENTID").alias("event_id"), "event_date", "year", "month"
     )
 
 
 @query
 def cameo_filter(spark: SparkSession, d: str) -> DataFrame:
-    return _brief(clean.keep_roots(_dated(spark, d)))
+    return _brief(clean.keep_roots(sample.sample_events(spark, d)))
 
 
 @query
 def geo_any_box(spark: SparkSession, d: str) -> DataFrame:
-    return _brief(tagging.keep_any_box(_dated(spark, d)))
+    return _brief(tagging.keep_any_box(sample.sample_events(spark, d)))
 
 
 @query
 def geo_box_filter(spark: SparkSession, d: str) -> DataFrame:
-    return _brief(_dated(spark, d).filter(in_box(CHOKEPOINT_BOXES[0])))
+    return _brief(sample.sample_events(spark, d).filter(in_box(CHOKEPOINT_BOXES[0])))
 
 
 @query
@@ -337,7 +333,7 @@ def train_window_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dedup_events(spark: SparkSession, d: str) -> DataFrame:
-    return _brief(clean.with_event_date(clean.dedup_events(sample.sample_events(spark, d))))
+    return _brief(clean.dedup_events(sample.sample_events(spark, d)))
 
 
 @query
@@ -365,17 +361,17 @@ def geo_flags(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def geo_tag_explode(spark: SparkSession, d: str) -> DataFrame:
-    return _brief(tagging.tag_by_expression(_dated(spark, d)), "chokepoint")
+    return _brief(tagging.tag_by_expression(sample.sample_events(spark, d)), "chokepoint")
 
 
 @query
 def geo_tag_range_join(spark: SparkSession, d: str) -> DataFrame:
-    return _brief(tagging.tag_by_range(_dated(spark, d)), "chokepoint")
+    return _brief(tagging.tag_by_range(sample.sample_events(spark, d)), "chokepoint")
 
 
 @query
 def geo_tag_grid_join(spark: SparkSession, d: str) -> DataFrame:
-    return _brief(tagging.tag_by_grid(_dated(spark, d)), "chokepoint")
+    return _brief(tagging.tag_by_grid(sample.sample_events(spark, d)), "chokepoint")
 
 
 # --- panel ------------------------------------------------------------------

@@ -31,7 +31,7 @@ def archive_before(spark: SparkSession, store: str, archive: str, cutoff: date)
     (
         spark.read.parquet(store)
         .filter(month_no < cutoff.year * 12 + cutoff.month)
-        .select(*ANALYSIS_COLUMNS, "event_date", "year", "month")
+        .select(*ANALYSIS_COLUMNS, "year", "month")
         .hint("rebalance", F.col("year"), F.col("month"))
         .sortWithinPartitions("year", "month", "event_date")
         .write.mode("overwrite")

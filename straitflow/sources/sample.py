@@ -8,6 +8,7 @@ same rows can be stated in SQL.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _coordinate(centres: Sequence[int], elsewhere: int, a: int, b: int) -> Column:
     slot = F.col("l_partkey") % 12
-    centre = F.coalesce(F.get(F.array(*[F.lit(c) for c in centres]), slot.cast("int")), F.lit(elsewhere))
+    centre = reduce(
+        lambda cases, pair: cases.when(slot == pair[0], pair[1]), enumerate(centres), F
+    ).otherwise(elsewhere)
     jitter = (F.col("l_orderkey") * a + F.col("l_linenumber") * b) % 600 - 300
     return (centre + jitter).cast("double") / F.lit(100.0)
 
@@ -40,6 +43,7 @@ def _coordinate(centres: Sequence[int], elsewhere: int, a: int, b: int) -> Colum
 def _event_columns() -> dict[str, Column]:
     day = F.col("l_shipdate").cast("date")
     return {
+        "event_date": day,
         "GLOBALEVENTID": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         "SQLDATE": int_from_date(day),
         "SOURCEURL": F.concat(F.lit("u"), F.col("l_suppkey").cast("string")),
@@ -55,7 +59,7 @@ def _event_columns() -> dict[str, Column]:
 
 
 def as_analysis_rows(lineitem: DataFrame) -> DataFrame:
-    """The analysis columns of the event feed."""
+    """The analysis columns of the event store."""
     return lineitem.select(*[c.alias(n) for n, c in _event_columns().items()])
 
 

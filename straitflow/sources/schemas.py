@@ -29,8 +29,9 @@ EVENT_SCHEMA = """
     DATEADDED STRING, SOURCEURL STRING
 """
 
-# The columns the analysis reads; everything else is pruned at the scan.
+# The columns of the store that the analysis reads; everything else is pruned at the scan.
 ANALYSIS_COLUMNS = (
+    "event_date",
     "GLOBALEVENTID",
     "SQLDATE",
     "SOURCEURL",

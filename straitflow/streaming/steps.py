@@ -31,7 +31,8 @@ def tagged_stream(
     roots: Sequence[str] = SUPPLY_CHAIN_ROOTS,
 ) -> DataFrame:
     """Code filter and tags on an event stream, with ``event_time`` at the start of the day."""
-    tagged = tag_by_expression(keep_roots(with_event_date(stream), roots), boxes)
+    dated = stream if "event_date" in stream.columns else with_event_date(stream)
+    tagged = tag_by_expression(keep_roots(dated, roots), boxes)
     return tagged.filter(F.col("event_date").isNotNull()).withColumn(
         "event_time", utc_midnight("event_date")
     )
