@@ -78,7 +78,7 @@ def forest(num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH) -> RandomFore
     )
 
 
-def stable_rows(rows: DataFrame, partitions: int = 8) -> DataFrame:
+def stable_rows(rows: DataFrame, partitions: int = 4) -> DataFrame:
     """Fixed placement and order, on which the sampling of a seeded forest depends.
 
     A feature table has one row per day and box, so a fixed number of partitions is enough.

@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import functions as F
+
+from straitflow.config import MODEL_INPUTS
+from straitflow.operators import training
+
+SCHEMA = "event_date date, chokepoint string, label int, " + ", ".join(f"{c} double" for c in MODEL_INPUTS)
+
+
+def rows(n, seed=0):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        label = rng.randrange(3)
+        out.append(
+            (date(2024, 1, 1) + timedelta(days=i), "hormuz", label, *[label + rng.random() for _ in MODEL_INPUTS])
+        )
+    return out
+
+
+def test_split_dates_round_down(spark):
+    split = training.time_split(spark.createDataFrame(rows(12), SCHEMA)).collect()
+    # 11 days: cuts after int(6.6) = 6 and int(8.8) = 8 days
+    got = {(r.event_date - date(2024, 1, 1)).days: r.split for r in split}
+    assert [got[i] for i in range(12)] == ["train"] * 6 + ["validation"] * 2 + ["test"] * 4
+
+
+def test_embargo_clears_the_days_before_each_cut(spark):
+    split = training.time_split(spark.createDataFrame(rows(101), SCHEMA), embargo_days=5)
+    days = {(r.event_date - date(2024, 1, 1)).days for r in split.collect()}
+    assert days == set(range(101)) - set(range(55, 60)) - set(range(75, 80))
+
+
+def test_empty_features_split_to_nothing(spark):
+    empty = training.time_split(spark.createDataFrame([], SCHEMA))
+    assert empty.count() == 0 and "split" in empty.columns
+
+
+def test_few_rows_are_fitted_without_folds(spark):
+    model = training.train_best(spark.createDataFrame(rows(9), SCHEMA))
+    assert model.stages[-1].getNumTrees == 100
+
+
+def test_rows_with_missing_inputs_are_skipped(spark):
+    df = spark.createDataFrame(rows(3), SCHEMA)
+    holes = df.withColumn("usd_index", F.when(F.col("event_date") > "2024-01-01", F.col("usd_index")))
+    assembled = training.assembled_rows(holes).collect()
+    assert len(assembled) == 2 and len(assembled[0].vector) == 15
+
+
+def test_metrics_equal_the_evaluator(spark):
+    rng = random.Random(4)
+    data = [(rng.randrange(3), float(rng.choice([0, 1, 1, 3])), s) for s in "ab" for _ in range(200)]
+    df = spark.createDataFrame(data, "label int, prediction double, split string")
+    got = {r.split: r for r in training.metrics(df, "split").collect()}
+    for s in "ab":
+        part = df.filter(F.col("split") == s).withColumn("label", F.col("label").cast("double"))
+        for name in ("f1", "accuracy"):
+            ref = MulticlassClassificationEvaluator(metricName=name).evaluate(part)
+            assert got[s][name] == pytest.approx(ref)
+        assert got[s].row_count == 200
+
+
+def test_time_folds_are_contiguous(spark):
+    folds = training.with_time_folds(spark.createDataFrame(rows(30), SCHEMA)).orderBy("event_date")
+    assert [r.fold for r in folds.collect()] == [0] * 10 + [1] * 10 + [2] * 10
+
+
+def test_cross_validation_grid_and_importances(spark):
+    df = spark.createDataFrame(rows(90), SCHEMA)
+    fitted = training.cross_validate(df, trees=(2, 4), depths=(2,), time_folds=True)
+    scores = training.grid_scores(spark, fitted).collect()
+    assert {(r.num_trees, r.max_depth) for r in scores} == {(2, 2), (4, 2)}
+    assert all(r.mean_f1 > 0.9 for r in scores)
+    importance = training.importances(spark, fitted.bestModel).collect()
+    assert sum(r.importance for r in importance) == pytest.approx(1.0)
+    assert [r.importance for r in importance] == sorted((r.importance for r in importance), reverse=True)
+
+
+def test_forest_does_not_depend_on_the_layout_of_its_input(spark):
+    df = spark.createDataFrame(rows(120, seed=9), SCHEMA).withColumn("label", (F.rand(1) * 3).cast("int")).cache()
+    a = training.fit_forest(df.repartition(1), num_trees=5, max_depth=4)
+    b = training.fit_forest(df.repartition(7), num_trees=5, max_depth=4)
+    assert a.stages[-1].toDebugString.split("\n", 1)[1] == b.stages[-1].toDebugString.split("\n", 1)[1]
+
+
+def test_ablation_has_a_row_per_subset_and_split(spark):
+    split = training.time_split(spark.createDataFrame(rows(60), SCHEMA))
+    out = training.ablation(split, {"all": MODEL_INPUTS, "macro": MODEL_INPUTS[13:]}, 2, 2).collect()
+    assert {(r.inputs, r.split) for r in out} == {
+        (i, s) for i in ("all", "macro") for s in ("validation", "test")
+    }
