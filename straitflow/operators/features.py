@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from straitflow.config import MODEL_INPUTS, PANEL_METRICS, FeatureSettings
-from straitflow.functions.geo import in_any_box
+from straitflow.functions.geo import near_any_box
 from straitflow.operators.clean import (
     dedup_events,
     dedup_matching,
@@ -44,14 +44,14 @@ def clean_events(events: DataFrame, settings: FeatureSettings = FeatureSettings(
 def tagged_events(events: DataFrame, settings: FeatureSettings = FeatureSettings()) -> DataFrame:
     """Clean events near a box of the scope, one row per event and box.
 
-    Few events pass the code and box filters, so with ``prune_keys`` the others are kept
+    Few events pass the code and cell filters, so with ``prune_keys`` the others are kept
     out of the de-duplication shuffle; the result is the same.
     """
     boxes = settings.scoped_boxes()
     if not settings.prune_keys or settings.dedup_after_filter:
         return tag_by_expression(clean_events(events, settings), boxes)
     slim = analysis_rows(events)
-    wanted = F.col("EventRootCode").isin(*settings.roots) & in_any_box(boxes)
+    wanted = F.col("EventRootCode").isin(*settings.roots) & near_any_box(boxes)
     return tag_by_expression(dedup_matching(slim, wanted), boxes)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,12 +67,24 @@ def page_rank(
         )
         .write.parquet(path)
     )
-    links = spark.read.parquet(path)
-    salts = links.groupBy("src").agg(F.max("salts").alias("salts"))
-    nodes = links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+    stored = spark.read.parquet(path)
+    # Placed and sorted once; every round then shuffles ranks only. A lost block is
+    # read again from the written edges.
+    links = (
+        stored.select("src", "dst", "share", "salt")
+        .repartition("src", "salt")
+        .sortWithinPartitions("src", "salt")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    links.count()  # or else the rounds of the first job would each place them
+    ends = F.array(
+        F.struct(F.col("src").alias("node"), F.col("salts")),
+        F.struct(F.col("dst").alias("node"), F.lit(0).alias("salts")),
+    )
     nodes = (
-        nodes.join(salts, nodes["node"] == salts["src"], "left")
-        .select("node", F.coalesce("salts", F.lit(0)).alias("salts"))
+        stored.select(F.explode(ends).alias("e"))
+        .groupBy(F.col("e.node").alias("node"))
+        .agg(F.max("e.salts").alias("salts"))
         .checkpoint()
     )
     ranks = nodes.withColumn("rank", F.lit(1.0))
@@ -81,17 +94,21 @@ def page_rank(
             "rank",
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         )
-        received = (
-            links.select("src", "dst", "share", "salt")
-            .join(spread, ["src", "salt"])
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.sum(F.col("rank") * F.col("share")).alias("received"))
+        received = links.join(spread, ["src", "salt"]).select(
+            F.col("dst").alias("node"),
+            F.lit(0).alias("salts"),
+            (F.col("rank") * F.col("share")).alias("received"),
         )
-        ranks = nodes.join(received, "node", "left").select(
-            "node",
-            "salts",
-            (F.lit(1 - damping) + F.lit(damping) * F.coalesce("received", F.lit(0.0))).alias("rank"),
+        # Every node contributes a zero, so nodes without incoming edges stay.
+        ranks = (
+            received.unionByName(nodes.withColumn("received", F.lit(0.0)))
+            .groupBy("node")
+            .agg(
+                F.max("salts").alias("salts"),
+                (F.lit(1 - damping) + F.lit(damping) * F.sum("received")).alias("rank"),
+            )
         )
-        if step % checkpoint_every == 0 and step < iterations:
+        if step % checkpoint_every == 0 or step == iterations:
             ranks = ranks.checkpoint()
+    links.unpersist()
     return ranks.select("node", "rank")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from straitflow.config import CHOKEPOINT_BOXES, Box
-from straitflow.functions.geo import LAT, LON, box_names, in_any_box, in_box
+from straitflow.functions.geo import LAT, LON, box_names, in_any_box, in_box, near_any_box
 
 # A box list up to this many cells is broadcast; a larger one is joined with salts.
 BROADCAST_CELLS = 200_000
@@ -32,9 +32,17 @@ def with_box_flags(events: DataFrame, boxes: Sequence[Box] = CHOKEPOINT_BOXES) -
 
 
 def tag_by_expression(events: DataFrame, boxes: Sequence[Box] = CHOKEPOINT_BOXES) -> DataFrame:
-    """Explode the names of the boxes around each point; no join, stays in one stage."""
-    tagged = keep_any_box(events, boxes).withColumn("_boxes", box_names(boxes))
-    return tagged.withColumn("chokepoint", F.explode("_boxes")).drop("_boxes")
+    """Explode the names of the boxes around each point; no join, stays in one stage.
+
+    The filter ahead reads each coordinate once. With the inner form of explode the
+    optimizer would put a test of the whole array ahead as well.
+    """
+    tagged = events.filter(near_any_box(boxes)).withColumn("_boxes", box_names(boxes))
+    return (
+        tagged.withColumn("chokepoint", F.explode_outer("_boxes"))
+        .filter(F.col("chokepoint").isNotNull())
+        .drop("_boxes")
+    )
 
 
 def boxes_frame(spark: SparkSession, boxes: Sequence[Box] = CHOKEPOINT_BOXES) -> DataFrame:
@@ -101,8 +109,9 @@ def tag_by_bins(
         cells = F.broadcast(cells)
     else:
         cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        spread = F.xxhash64(*[c for c in events.columns])
-        points = points.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+        # The number of the task, not a hash of the row: copies of one row must spread too,
+        # and a repeated task must salt as before.
+        points = points.withColumn("_salt", F.spark_partition_id() % salts)
         on.append("_salt")
     inside = F.col(LAT).between(F.col("lat_min"), F.col("lat_max")) & F.col(LON).between(
         F.col("lon_min"), F.col("lon_max")

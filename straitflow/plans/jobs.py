@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from straitflow.config import FeatureSettings
-from straitflow.operators.clean import dedup_events, keep_roots
+from straitflow.functions.geo import box_names
+from straitflow.operators.clean import dedup_events
 from straitflow.operators.features import analysis_rows, feature_table, keep_from
-from straitflow.operators.tagging import tag_by_expression
 from straitflow.operators.training import importances, metrics, time_split, train_best
 from straitflow.sources.events import read_event_store, scan_events, write_event_store
 from straitflow.sources.market import coalesce_close, scan_macro, scan_wide_prices
 
 
 def ingest(spark: SparkSession, raw: str, store: str) -> int:
-    """Event files to the store in one pass; returns the rows loaded, counted along the way."""
+    """Event files to the store in one pass; returns the rows loaded, counted along the way.
+
+    The counter is for progress: a task that had to be repeated may be counted twice.
+    """
     loaded = Observation("loaded")
     write_event_store(scan_events(spark, raw).observe(loaded, F.count(F.lit(1)).alias("rows")), store)
     return loaded.get["rows"]
@@ -77,14 +80,37 @@ def preprocessing_funnel(
     Exact aggregates in one plan. Counters that ride along with a write are cheaper but
     may count a repeated task twice, so they only serve for progress.
     """
-    unique = dedup_events(analysis_rows(events))
-    coded = keep_roots(unique, settings.roots)
-    flagged = unique.withColumn("_coded", F.col("EventRootCode").isin(*settings.roots))
-    steps = flagged.agg(F.count("*").alias("unique"), F.count_if("_coded").alias("coded"))
-    tagged = tag_by_expression(coded, settings.boxes).groupBy("event_date", "chokepoint").count()
-    panel = tagged.agg(F.sum("count").alias("tagged"), F.count("event_date").alias("days"))
-
-    def rows(frame: DataFrame, named: dict[str, tuple[int, str]]) -> DataFrame:
+    # One pass: a row per event and box, the first of each event standing for the event.
+    event = F.coalesce(F.col("_at"), F.lit(0)) == 0
+    coded = F.col("EventRootCode").isin(*settings.roots)
+    daily = (
+        dedup_events(analysis_rows(events))
+        .select(
+            "event_date",
+            "EventRootCode",
+            F.posexplode_outer(box_names(settings.boxes)).alias("_at", "chokepoint"),
+        )
+        .groupBy("event_date", "chokepoint")
+        .agg(
+            F.count_if(event).alias("unique"),
+            F.count_if(event & coded).alias("coded"),
+            F.count_if(coded & F.col("chokepoint").isNotNull()).alias("tagged"),
+        )
+    )
+    steps = daily.agg(
+        F.sum("unique").alias("unique"),
+        F.sum("coded").alias("coded"),
+        F.sum("tagged").alias("tagged"),
+        F.count_if((F.col("tagged") > 0) & F.col("event_date").isNotNull()).alias("days"),
+    )
+    named = {
+        "unique": (2, "without copies"),
+        "coded": (3, "wanted codes"),
+        "tagged": (4, "near a box"),
+        "days": (5, "daily panel"),
+    }
+
+    def rows(frame: DataFrame, names: dict[str, tuple[int, str]]) -> DataFrame:
         return frame.select(
             F.inline(
                 F.array(
@@ -94,7 +120,7 @@ def preprocessing_funnel(
                             F.lit(step).alias("step"),
                             F.coalesce(F.col(c), F.lit(0)).cast("long").alias("row_count"),
                         )
-                        for c, (position, step) in named.items()
+                        for c, (position, step) in names.items()
                     ]
                 )
             )
@@ -102,7 +128,6 @@ def preprocessing_funnel(
 
     return (
         rows(events.agg(F.count("*").alias("raw")), {"raw": (1, "raw events")})
-        .unionByName(rows(steps, {"unique": (2, "without copies"), "coded": (3, "wanted codes")}))
-        .unionByName(rows(panel, {"tagged": (4, "near a box"), "days": (5, "daily panel")}))
+        .unionByName(rows(steps, named))
         .unionByName(rows(features.agg(F.count("*").alias("f")), {"f": (6, "feature rows")}))
     )

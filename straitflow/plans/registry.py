@@ -105,6 +105,7 @@ def _features(spark: SparkSession, d: str, settings: FeatureSettings = SETTINGS)
 
 
 def _written_features(spark: SparkSession, d: str) -> DataFrame:
+    """What training starts from: the split looks at the table twice, so it is written first."""
     path = scratch_path(spark, "features")
     _features(spark, d).write.parquet(path)
     return spark.read.parquet(path)
@@ -575,11 +576,12 @@ def assembled_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def time_split(spark: SparkSession, d: str) -> DataFrame:
-    return training.time_split(_features(spark, d)).select("event_date", "chokepoint", "split")
+    split = training.time_split(_written_features(spark, d))
+    return split.select("event_date", "chokepoint", "split")
 
 
 def _rule(spark: SparkSession, d: str) -> DataFrame:
-    return training.momentum_rule(training.time_split(_features(spark, d)))
+    return training.momentum_rule(training.time_split(_written_features(spark, d)))
 
 
 @query

@@ -68,6 +68,11 @@ def union_prices(frames: Mapping[str, DataFrame], symbols: Mapping[str, str]) ->
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def export_csv(df: DataFrame, path: str) -> None:
+    """CSV with header, for exchange; between jobs use Parquet."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
 def normalise_macro(raw: DataFrame, series: str) -> DataFrame:
     """``date, <series>`` from a two-column file whose header spelling is not reliable."""
     df = raw.toDF(*[c.strip() for c in raw.columns])

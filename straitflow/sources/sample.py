@@ -8,7 +8,6 @@ same rows can be stated in SQL.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +17,8 @@ from straitflow.functions.dates import int_from_date
 from straitflow.sources.schemas import EVENT_SCHEMA
 
 # Box centres in hundredths of a degree, by l_partkey % 12.
-LAT_CENTRES = (2656, 3046, 1400, 4460, 250, 908, 2450, -2350)
-LON_CENTRES = (5625, 3234, 4300, 3350, 10150, -7968, 11950, -6950)
-LAT_ELSEWHERE, LON_ELSEWHERE = 6000, 1000
+LAT_CENTRES = (2656, 3046, 1400, 4460, 250, 908, 2450, -2350, 6000, 6000, 6000, 6000)
+LON_CENTRES = (5625, 3234, 4300, 3350, 10150, -7968, 11950, -6950, 1000, 1000, 1000, 1000)
 
 # Plays crude oil.
 SAMPLE_COMMODITY = "1-URGENT"
@@ -31,11 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _coordinate(centres: Sequence[int], elsewhere: int, a: int, b: int) -> Column:
-    slot = F.col("l_partkey") % 12
-    centre = reduce(
-        lambda cases, pair: cases.when(slot == pair[0], pair[1]), enumerate(centres), F
-    ).otherwise(elsewhere)
+def _coordinate(centres: Sequence[int], a: int, b: int) -> Column:
+    centre = F.get(F.array(*[F.lit(c) for c in centres]), (F.col("l_partkey") % 12).cast("int"))
     jitter = (F.col("l_orderkey") * a + F.col("l_linenumber") * b) % 600 - 300
     return (centre + jitter).cast("double") / F.lit(100.0)
 
@@ -53,8 +48,8 @@ def _event_columns() -> dict[str, Column]:
         "GoldsteinScale": F.col("l_discount") * 100 - F.col("l_tax") * 100,
         "AvgTone": F.col("l_quantity"),
         "NumMentions": F.col("l_linenumber"),
-        "ActionGeo_Lat": _coordinate(LAT_CENTRES, LAT_ELSEWHERE, 7919, 104729),
-        "ActionGeo_Long": _coordinate(LON_CENTRES, LON_ELSEWHERE, 6131, 15485863),
+        "ActionGeo_Lat": _coordinate(LAT_CENTRES, 7919, 104729),
+        "ActionGeo_Long": _coordinate(LON_CENTRES, 6131, 15485863),
     }
 
 

@@ -16,13 +16,24 @@ from straitflow.operators.tagging import tag_by_expression
 
 
 def dedup_stream(
-    stream: DataFrame, keys: Sequence[str], time: str = "event_time", delay: str = "2 days"
+    stream: DataFrame,
+    keys: Sequence[str],
+    time: str = "event_time",
+    delay: str = "2 days",
+    salts: int = 16,
 ) -> DataFrame:
     """First arrival of each key; a key is remembered for ``delay`` past its time.
 
-    Put the day into ``keys`` to match the batch form, whose key holds the date.
+    Put the day into ``keys`` to match the batch form, whose key holds the date. A stream
+    has no map-side step for this, so each key is first reduced per salt, the number of
+    the reading task, and then over the salts: a hot key is spread over ``salts`` tasks.
     """
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+    salted = stream.withWatermark(time, delay).withColumn("_salt", F.spark_partition_id() % salts)
+    return (
+        salted.dropDuplicatesWithinWatermark([*keys, "_salt"])
+        .drop("_salt")
+        .dropDuplicatesWithinWatermark(list(keys))
+    )
 
 
 def tagged_stream(

@@ -183,9 +183,8 @@ def test_jobs_from_files_to_features(spark, tmp_path):
     prices = sample.sample_prices(spark, d).filter(F.col("commodity").startswith("1"))
     lines = [f"{r.date},{r.close!r},crude_oil,CL=F," for r in prices.collect()]
     (tmp_path / "prices.csv").write_text("date,close,commodity,symbol,close\n" + "\n".join(lines) + "\n")
-    sample.sample_macro(spark, d).withColumn("cpi", F.lit(None).cast("double")).write.option(
-        "header", True
-    ).csv(str(tmp_path / "macro"))
+    macro = sample.sample_macro(spark, d).withColumn("cpi", F.lit(None).cast("double"))
+    market.export_csv(macro, str(tmp_path / "macro"))
     loaded = jobs.ingest(spark, str(tmp_path / "raw"), str(tmp_path / "store"))
     assert loaded == rows.count()
     table = jobs.build_features(
