@@ -39,8 +39,9 @@ def dedup_events(
     return events.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-# Upper bound of the broadcast in dedup_matching: 4M long values, well under 200 MB.
-KEY_SLOTS = 1 << 22
+# Numbers that dedup_matching hashes keys to. They are packed 64 to a word, so its
+# broadcast has at most 2M rows of two longs, about 100 MB.
+KEY_SLOTS = 1 << 27
 
 
 def dedup_matching(
@@ -53,15 +54,26 @@ def dedup_matching(
     """``dedup_events(events).filter(predicate)`` for a predicate that few rows pass.
 
     Only keys with a passing row can come out, so the others need no shuffle. The keys
-    of the passing rows are hashed to ``slots`` numbers, which bounds the broadcast
-    whatever the data, and rows on any other slot are dropped during the scan. Rows
-    that share a slot by accident are merely shuffled in vain. The input is scanned
-    twice: worth it over a stored table, not over an expensive plan.
+    of the passing rows are hashed to ``slots`` bits, which bounds the broadcast whatever
+    the data, and rows whose bit is not set are dropped during the scan. Rows that share
+    a bit by accident are merely shuffled in vain. The input is scanned twice: worth it
+    over a stored table, not over an expensive plan.
     """
     slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
-    passing = events.filter(predicate).select(slot.alias("_slot")).distinct()
-    near = events.withColumn("_slot", slot).join(F.broadcast(passing), "_slot", "left_semi")
-    return dedup_events(near.drop("_slot"), keys, order).filter(predicate)
+    word, bit = F.floor(F.col("_slot") / 64), (F.col("_slot") % 64).cast("int")
+    passing = (
+        events.filter(predicate)
+        .select(slot.alias("_slot"))
+        .groupBy(word.alias("_word"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    )
+    near = (
+        events.withColumn("_slot", slot)
+        .withColumn("_word", word)
+        .join(F.broadcast(passing), "_word")
+        .filter(F.getbit("_bits", bit) == 1)
+    )
+    return dedup_events(near.select(*events.columns), keys, order).filter(predicate)
 
 
 def dedup_any(events: DataFrame, keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:

@@ -36,7 +36,7 @@ def write_event_store(events: DataFrame, path: str, rows_per_file: int = 20_000_
     (
         with_date_parts(with_event_date(events))
         .hint("rebalance", F.col("year"), F.col("month"))
-        .sortWithinPartitions("year", "month", "event_date")
+        .sortWithinPartitions("year", "month", "event_date", "EventRootCode")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)

@@ -116,7 +116,7 @@ def test_dedup_matches_brute_force_with_a_hot_key(spark):
     assert as_set(dedup_events(df)) == sorted(best.values(), key=repr)
 
 
-@pytest.mark.parametrize("slots", [2, 64, 1 << 22])
+@pytest.mark.parametrize("slots", [2, 64, 100, 1 << 27])
 def test_pruned_dedup_equals_dedup_then_filter(spark, slots):
     df = spark.createDataFrame(hot_events(), EVENT).repartition(8)
     wanted = F.col("EventRootCode").isin("19") & (F.col("ActionGeo_Lat") > 20)
