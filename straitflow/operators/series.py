@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from straitflow.functions.returns import relative_change
 from straitflow.operators.panel import trailing
+from straitflow.session import staged
 
 
 def _by_date() -> WindowSpec:
@@ -133,7 +134,7 @@ def macro_daily(
     )
     reported = long_series(macro, series)
     if carry_in:
-        filled = asof_join(days, reported, by="series_id", on="date", value="value")
+        filled = asof_join(days, reported, "series_id", "date", "value", stage_lookup=False)
     else:
         filled = forward_fill(
             days.join(reported, ["series_id", "date"], "left"), "series_id", "date", ["value"]
@@ -150,6 +151,7 @@ def asof_join(
     on: str,
     value: str,
     bucket: Column | None = None,
+    stage_lookup: bool = True,
 ) -> DataFrame:
     """Adds to each left row the last ``value`` of the same ``by`` at or before ``on``.
 
@@ -162,4 +164,6 @@ def asof_join(
     # max() drops the null of a wanted row that coincides with a known one
     points = wanted.unionByName(known).groupBy(by, on).agg(F.max(value).alias(value))
     lookup = forward_fill(points, by, on, [value], bucket)
+    if stage_lookup:
+        lookup = staged(lookup, "asof")
     return left.join(lookup, [by, on], "left")

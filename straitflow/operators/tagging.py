@@ -91,10 +91,10 @@ def tag_by_bins(
 ) -> DataFrame:
     """Equi-join of points and boxes on latitude bands, or on cells if ``lon_step`` is given.
 
-    A box list whose cells are counted below ``broadcast_cells`` is broadcast. A larger
-    list, or a table of unknown size, is joined by shuffle; as one cell may hold a large
-    share of all events (places are geocoded to a few centroids), the event side is
-    salted and the box side repeated once per salt.
+    Boxes whose cells number at most ``broadcast_cells`` are broadcast: a literal list is
+    counted without a job, a table by a bounded count. More are joined by shuffle; as one
+    cell may hold a large share of all events (places are geocoded to a few centroids),
+    the event side is salted and the box side repeated once per salt.
     """
     literal = not isinstance(boxes, DataFrame)
     table = boxes_frame(events.sparkSession, boxes) if literal else boxes
@@ -105,10 +105,17 @@ def tag_by_bins(
         cells = cells.withColumn("_lon_bin", _bins("lon_min", "lon_max", lon_step))
         points = points.withColumn("_lon_bin", _bin(F.col(LON), lon_step))
         on.append("_lon_bin")
-    if literal and count_cells(boxes, lat_step, lon_step) <= broadcast_cells:
+    if literal:
+        size = count_cells(boxes, lat_step, lon_step)
+    else:
+        size = cells.limit(broadcast_cells + 1).count()
+    if size <= broadcast_cells:
         cells = F.broadcast(cells)
     else:
-        cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        # The planner would take the exploded cells to be as small as the table of boxes.
+        cells = cells.withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        ).hint("merge")
         # The number of the task, not a hash of the row: copies of one row must spread too,
         # and a repeated task must salt as before.
         points = points.withColumn("_salt", F.spark_partition_id() % salts)

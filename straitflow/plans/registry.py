@@ -25,7 +25,7 @@ from straitflow.functions.dates import utc_timestamp
 from straitflow.functions.geo import in_box
 from straitflow.operators import clean, features, graph, labels, panel, series, tagging, training
 from straitflow.plans import jobs
-from straitflow.session import scratch_path
+from straitflow.session import scratch_path, staged
 from straitflow.sources import catalog, events, market, sample
 from straitflow.streaming import sources as stream_io
 from straitflow.streaming import steps
@@ -106,9 +106,7 @@ def _features(spark: SparkSession, d: str, settings: FeatureSettings = SETTINGS)
 
 def _written_features(spark: SparkSession, d: str) -> DataFrame:
     """What training starts from: the split looks at the table twice, so it is written first."""
-    path = scratch_path(spark, "features")
-    _features(spark, d).write.parquet(path)
-    return spark.read.parquet(path)
+    return staged(_features(spark, d), "features")
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -681,7 +679,8 @@ def stream_rolling_7d(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_enrich(spark: SparkSession, d: str) -> DataFrame:
-    stream = steps.enrich_stream(_tagged_stream(spark, d), series.price_features(_oil(spark, d)))
+    prices = staged(series.price_features(_oil(spark, d)), "prices")
+    stream = steps.enrich_stream(_tagged_stream(spark, d), prices)
     columns = [F.col("GLOBALEVENTID").alias("event_id"), "event_date", "chokepoint"]
     return _rounded(
         stream_io.run_append(

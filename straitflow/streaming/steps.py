@@ -99,7 +99,11 @@ def rolling_stream(tagged: DataFrame, days: int = 7, delay: str = "1 day") -> Da
 
 
 def enrich_stream(tagged: DataFrame, prices: DataFrame) -> DataFrame:
-    """Stream-static join with the price features of the day."""
+    """Stream-static join with the price features of the day.
+
+    Pass a stored table: one row per trading day, small enough to be broadcast by its
+    file size, so the stream needs no shuffle and a hot day no single task.
+    """
     wanted = prices.select(F.col("price_date").alias("event_date"), "close", "return_5d", "volatility_20d")
     return tagged.join(wanted, "event_date")
 

@@ -56,3 +56,18 @@ def test_scans_read_only_what_they_need(spark):
     assert "l_extendedprice" not in plan
     price = plan_of(spark, "price_normalise")
     assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)" in price
+
+
+def test_large_box_tables_are_not_broadcast(spark):
+    from straitflow.operators.tagging import tag_by_bins
+    from straitflow.sources.sample import sample_events
+
+    tagged = tag_by_bins(sample_events(spark, SF_DIR), broadcast_cells=5)
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "_salt" in plan and "Broadcast" not in plan
+
+
+def test_as_of_join_leaves_the_left_side_in_place(spark):
+    plan = plan_of(spark, "asof_join_macro")
+    join = plan.index("BroadcastHashJoin")
+    assert "Exchange hashpartitioning(series_id" not in plan[:join]

@@ -55,6 +55,7 @@ WAYS = {
     "salted grid": lambda e, b: tag_by_bins(e, b, broadcast_cells=0, salts=4),
     "salted range": lambda e, b: tag_by_bins(e, b, lon_step=None, broadcast_cells=0, salts=4),
     "box table": lambda e, b: tag_by_grid(e, boxes_frame(e.sparkSession, b)),
+    "large box table": lambda e, b: tag_by_bins(e, boxes_frame(e.sparkSession, b), broadcast_cells=5),
     "fine grid": lambda e, b: tag_by_bins(e, b, 0.7, 0.3),
 }
 
