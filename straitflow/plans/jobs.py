@@ -17,13 +17,14 @@ from straitflow.sources.events import read_event_store, scan_events, write_event
 from straitflow.sources.market import coalesce_close, scan_macro, scan_wide_prices
 
 
-def ingest(spark: SparkSession, raw: str, store: str) -> int:
+def ingest(spark: SparkSession, raw: str, store: str, rebalance: bool = True) -> int:
     """Event files to the store in one pass; returns the rows loaded, counted along the way.
 
     The counter is for progress: a task that had to be repeated may be counted twice.
     """
     loaded = Observation("loaded")
-    write_event_store(scan_events(spark, raw).observe(loaded, F.count(F.lit(1)).alias("rows")), store)
+    rows = scan_events(spark, raw).observe(loaded, F.count(F.lit(1)).alias("rows"))
+    write_event_store(rows, store, rebalance=rebalance)
     return loaded.get["rows"]
 
 

@@ -8,6 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# For large clusters: many small shuffle blocks that AQE merges to a readable size, and
+# stream state outside the JVM heap. Streams keep the number of shuffle partitions of
+# their first run, so set spark.sql.shuffle.partitions for them deliberately.
+LARGE_CLUSTER = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
 def build_session(
     app: str = "straitflow",
     master: str | None = None,

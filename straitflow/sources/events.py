@@ -27,16 +27,22 @@ def scan_events(spark: SparkSession, path: str, quote: str = "", lineage: bool =
     return df.withColumn("file_name", F.col("_metadata.file_name")) if lineage else df
 
 
-def write_event_store(events: DataFrame, path: str, rows_per_file: int = 20_000_000) -> None:
+def write_event_store(
+    events: DataFrame, path: str, rows_per_file: int = 20_000_000, rebalance: bool = True
+) -> None:
     """Parquet by year and month; a re-run of one month replaces only that month.
 
     The rebalance hint lets AQE split a month that is far larger than the rest over
-    many tasks and merge small ones, so no task has to write a whole hot month.
+    many tasks and merge small ones, so no task has to write a whole hot month. Without
+    it every task writes its own file per month: no shuffle, and few files as long as the
+    input is split by day. Rows are sorted by day and code, which lets readers skip row
+    groups by either.
     """
+    dated = with_date_parts(with_event_date(events))
+    if rebalance:
+        dated = dated.hint("rebalance", F.col("year"), F.col("month"))
     (
-        with_date_parts(with_event_date(events))
-        .hint("rebalance", F.col("year"), F.col("month"))
-        .sortWithinPartitions("year", "month", "event_date", "EventRootCode")
+        dated.sortWithinPartitions("year", "month", "event_date", "EventRootCode")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)

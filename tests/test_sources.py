@@ -116,6 +116,16 @@ def test_rerun_of_a_month_keeps_the_others(spark, tmp_path):
     assert got == {1: 100, 2: 70}
 
 
+def test_store_without_rebalancing_holds_the_same_rows(spark, tmp_path):
+    rows = store_rows(spark, 500, 1).unionByName(store_rows(spark, 300, 2))
+    stores = []
+    for flag in (True, False):
+        path = str(tmp_path / str(flag))
+        events.write_event_store(rows, path, rebalance=flag)
+        stores.append(sorted(map(repr, spark.read.parquet(path).collect())))
+    assert stores[0] == stores[1] and len(stores[0]) == 800
+
+
 def test_one_hot_month_is_split_over_tasks(spark, tmp_path):
     path = str(tmp_path / "store")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
