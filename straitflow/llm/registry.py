@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from straitflow.llm import bpe, packing, token_counts
+from straitflow.llm import bpe, packing, simhash_trie, token_counts, topk_segments
+from straitflow.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +23,7 @@ def query(fn: Query) -> Query:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,3 +40,30 @@ def op7_packing(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.count_documents(spark, _table(spark, d, "documents"), VOCABULARY, limit=1024)
+
+
+@query
+def op1_top_k_segments(spark: SparkSession, d: str) -> DataFrame:
+    vectors = topk_segments.usable(_table(spark, d, "embeddings"))
+    return topk_segments.top_k(vectors.where("id % 50 = 0"), vectors, k=5, scale=256.0)
+
+
+ORACLE["op1_top_k_segments"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+WHERE k <= 5
+"""
+
+
+@query
+def op4_simhash_trie(spark: SparkSession, d: str) -> DataFrame:
+    return simhash_trie.near_duplicates(_table(spark, d, "documents"), width=3, budget=2)

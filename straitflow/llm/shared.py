@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import shutil
+import tempfile
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import straitflow
 from straitflow.session import scratch_root
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, as --py-files would."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(straitflow.__file__).parent
+        name = f"{tempfile.mkdtemp(prefix='straitflow-')}/{root.name}"
+        sc.addPyFile(shutil.make_archive(name, "zip", root.parent, root.name))
+        _shipped.add(sc.applicationId)
+
 
 def staged(frame: DataFrame) -> DataFrame:
     """The frame, computed once and kept in the folder of spark.checkpoint.dir, so that it outlives executors."""
