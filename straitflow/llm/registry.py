@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from straitflow.llm import bpe, packing, simhash_trie, token_counts, topk_segments
+from straitflow.llm import (
+    bpe,
+    packing,
+    quality_cascade,
+    secrets,
+    simhash_trie,
+    token_counts,
+    topk_segments,
+)
 from straitflow.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +75,13 @@ WHERE k <= 5
 @query
 def op4_simhash_trie(spark: SparkSession, d: str) -> DataFrame:
     return simhash_trie.near_duplicates(_table(spark, d, "documents"), width=3, budget=2)
+
+
+@query
+def op3_secret_links(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.report(_table(spark, d, "documents"))
+
+
+@query
+def op5_rule_cascade(spark: SparkSession, d: str) -> DataFrame:
+    return quality_cascade.judge(_table(spark, d, "documents"))
