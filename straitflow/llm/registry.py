@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from straitflow.llm import (
     bpe,
+    html_paths,
     packing,
     quality_cascade,
+    quality_ftrl,
     secrets,
     simhash_trie,
     token_counts,
@@ -85,3 +87,14 @@ def op3_secret_links(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op5_rule_cascade(spark: SparkSession, d: str) -> DataFrame:
     return quality_cascade.judge(_table(spark, d, "documents"))
+
+
+@query
+def op2_quality_ftrl(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents")
+    return quality_ftrl.score(spark, docs, quality_ftrl.train(docs, _table(spark, d, "labels")), threshold=0.7)
+
+
+@query
+def op9_html_paths(spark: SparkSession, d: str) -> DataFrame:
+    return html_paths.extract(_table(spark, d, "pages"))
