@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from straitflow.llm import (
     bpe,
     html_paths,
+    line_minhash,
     packing,
     quality_cascade,
     quality_ftrl,
@@ -98,3 +99,8 @@ def op2_quality_ftrl(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_html_paths(spark: SparkSession, d: str) -> DataFrame:
     return html_paths.extract(_table(spark, d, "pages"))
+
+
+@query
+def op8_line_minhash(spark: SparkSession, d: str) -> DataFrame:
+    return line_minhash.dedup_lines(_table(spark, d, "documents")).drop("h")

@@ -64,3 +64,21 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     out = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return out.unionAll(roots)
+
+
+def marked_by(frame: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The frame and `marked`: true for every row whose key is among the keys, and for few others.
+
+    The keys set bits of a table of 16 bits a key, 2**27 at most; its words, 2**21 at most, are broadcast. So
+    a join needs to shuffle the marked rows only; with more keys than bits it shuffles more, and stays right.
+    """
+    bits = min(1 << 27, max(1 << 12, 1 << (16 * max(1, keys.count())).bit_length()))
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    words = (
+        keys.select(slot.alias("slot"))
+        .groupBy(F.shiftright("slot", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(slot & 63 AS INT)))").alias("set"))
+    )
+    placed = frame.withColumn("slot", slot).withColumn("word", F.shiftright("slot", 6))
+    marked = F.expr("coalesce((shiftrightunsigned(set, CAST(slot & 63 AS INT)) & 1L) = 1L, false)")
+    return placed.join(F.broadcast(words), "word", "left").withColumn("marked", marked).drop("slot", "word", "set")
