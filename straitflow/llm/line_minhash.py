@@ -18,11 +18,12 @@ Everything is DataFrame functions.
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from straitflow.llm.shared import components, marked_by, staged
+from straitflow.llm.shared import attached, components, keyed, marked_by, staged
 
 #: Characters of a shingle, and of the shortest line that is looked at.
 SHINGLE = 8
@@ -155,30 +156,22 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, least_chars:
     )
 
 
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """doc_id, text without repeated lines, n_lines, n_removed and h (the hash of the text as it was), a row each.
+def dedup_lines(
+    docs: DataFrame,
+    similarity: float = SIMILARITY,
+    least_chars: int = LEAST_CHARS,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """doc_id, text without repeated lines, n_lines, n_removed, and `carried`, a struct of the columns to carry.
 
     Lines shorter than `least_chars` stay. Of near-equal lines the one with the smallest doc_id and place stays;
     a null doc_id comes first. Rows equal in id and text count as one document: both keep the same lines. A null
     text stays null, with no lines; a text whose lines all went is empty.
     """
     gone = staged(
-        removed_lines(docs, similarity, least_chars)
-        .groupBy("doc_id", "h")
-        .agg(F.collect_set("line_no").alias("gone"))
-        .select("doc_id", F.col("h").alias("was"), "gone")
+        removed_lines(docs, similarity, least_chars).groupBy("doc_id", "h").agg(F.collect_set("line_no").alias("gone"))
     )
-    texts = docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"),
-        docs["text"].cast("string").alias("text"),
-        F.xxhash64(docs["text"].cast("string")).alias("h"),
-    )
-    likely = marked_by(texts, "h", gone.select(F.col("was").alias("h")))
-    touched = likely.where("marked").alias("t").join(
-        gone.alias("g"), (F.col("t.h") == F.col("g.was")) & F.col("t.doc_id").eqNullSafe(F.col("g.doc_id")), "left"
-    ).select("t.doc_id", "t.text", "t.h", "g.gone")
-    whole = likely.where("NOT marked").select("doc_id", "text", "h", F.lit(None).cast("array<int>").alias("gone"))
-    rows = touched.unionAll(whole).withColumn("lines", F.split("text", "\n"))
+    rows = attached(keyed(docs, carry), gone).withColumn("lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     rebuilt = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
     return rows.select(
@@ -186,5 +179,5 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, least_chars: in
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(rebuilt).alias("text"),
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        "h",
+        "carried",
     )

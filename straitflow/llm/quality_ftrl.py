@@ -199,3 +199,20 @@ def score(spark: SparkSession, docs: DataFrame, weights: bytes | None, threshold
     return texts.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int"
     )
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, weights: bytes | None, threshold: float = 0.7) -> DataFrame:
+    """The rows, with all their columns, whose texts score at least the threshold."""
+    sent = spark.sparkContext.broadcast(weights)
+    at_text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = None if sent.value is None else np.frombuffer(sent.value, np.float32).astype(np.float64)
+        features = Features()
+        for batch in batches:
+            if w is not None:
+                found = (features.of(x.as_py()) for x in batch.column(at_text))
+                batch = batch.filter(pa.array([sigmoid(float(w[at] @ x)) >= threshold for at, x in found], pa.bool_()))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)

@@ -103,4 +103,4 @@ def op9_html_paths(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def op8_line_minhash(spark: SparkSession, d: str) -> DataFrame:
-    return line_minhash.dedup_lines(_table(spark, d, "documents")).drop("h")
+    return line_minhash.dedup_lines(_table(spark, d, "documents")).drop("carried")

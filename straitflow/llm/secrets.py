@@ -13,9 +13,13 @@ the pieces and the matches gives their places.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from straitflow.llm.shared import attached, keyed, staged
+
 #: The base patterns. Kinds are numbered in the order in which they are listed. A run of too few
 #: characters never gives way to another match, so the least lengths of the last two stand in the patterns.
 ASSIGN = "(?i)(?:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -129,26 +133,31 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     return parts.where(F.col("kind") < BASE_KINDS).select(*names).unionAll(met.where(complete).select(*names))
 
 
-def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """doc_id, text (null becomes empty) and found: the spans as array<struct<start, kind, end>>, in order.
-
-    Rows stay as they are, repeated ones and null ids too; a text without secrets has an empty array.
-    """
+def spans_of(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """doc_id, h and found, the spans in order, of the texts that have any."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
     texts = texts.withColumn("h", F.xxhash64("text"))
-    spans = (
+    return (
         linked(matches(texts), scope)
         .groupBy("doc_id", "h")
         .agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("found"))
     )
-    out = texts.alias("t").join(
-        spans.alias("s"),
+
+
+def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """doc_id and found: the spans as array<struct<start, kind, end>>, in order; empty where there are none.
+
+    Rows stay as they are, repeated ones and null ids too.
+    """
+    rows = keyed(docs).alias("t")
+    out = rows.join(
+        spans_of(docs, scope).alias("s"),
         F.col("t.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("t.h") == F.col("s.h")),
         "left",
     )
     none = F.array().cast("array<struct<start:long,kind:int,end:long>>")
-    return out.select("t.doc_id", "t.text", F.coalesce("s.found", none).alias("found"))
+    return out.select("t.doc_id", F.coalesce("s.found", none).alias("found"))
 
 
 def written(spans: Column) -> Column:
@@ -192,3 +201,13 @@ def redact(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
     )
     rest = F.substring(text, at(done["at"] + 1), F.char_length(text))
     return F.when(F.size(spans) > 0, F.concat(done["out"], rest)).otherwise(text)
+
+
+def redact_documents(docs: DataFrame, scope: int = SCOPE, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, text with its secrets replaced by a mark, and `carried`, a struct of the columns to carry.
+
+    Null and empty texts stay as they are, and so do repeated rows.
+    """
+    rows = attached(keyed(docs, carry), staged(spans_of(docs, scope)))
+    text = F.when(F.col("found").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("found")))
+    return rows.select("doc_id", text.alias("text"), "carried")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,3 +83,27 @@ def marked_by(frame: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     placed = frame.withColumn("slot", slot).withColumn("word", F.shiftright("slot", 6))
     marked = F.expr("coalesce((shiftrightunsigned(set, CAST(slot & 63 AS INT)) & 1L) = 1L, false)")
     return placed.join(F.broadcast(words), "word", "left").withColumn("marked", marked).drop("slot", "word", "set")
+
+
+def keyed(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, text, h (a hash of the text, 42 for null) and the named columns of the rows in a struct, `carried`."""
+    carried = F.struct(*[docs[c] for c in carry]) if carry else F.lit(None).cast("string")
+    text = docs["text"].cast("string")
+    return docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), carried.alias("carried")
+    )
+
+
+def attached(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of `keyed` with what was found, by doc_id and h, on some of them; null on others.
+
+    Only rows whose hash is likely among the found ones are shuffled.
+    """
+    extra = [c for c in found.columns if c not in ("doc_id", "h")]
+    likely = marked_by(rows, "h", found.select("h")).select(*rows.columns, "marked")
+    touched = likely.where("marked").alias("t").join(
+        found.alias("f"), (F.col("t.h") == F.col("f.h")) & F.col("t.doc_id").eqNullSafe(F.col("f.doc_id")), "left"
+    ).select(*[f"t.{c}" for c in rows.columns], *[f"f.{c}" for c in extra])
+    types = dict(found.dtypes)
+    none = [F.lit(None).cast(types[c]).alias(c) for c in extra]
+    return touched.unionAll(likely.where("NOT marked").select(*rows.columns, *none))

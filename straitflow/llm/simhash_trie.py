@@ -11,7 +11,7 @@ the links that it finds, which has fewer edges than it has fingerprints, however
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from straitflow.llm.shared import components, staged
+from straitflow.llm.shared import attached, components, keyed, staged
 
 BITS = 64
 #: Fixed value: A-Z to a-z, and the white space that ends a word.
@@ -54,15 +54,16 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long. A null text is an empty one, whose fingerprint is zero."""
+    """doc_id, h (a hash of the text) and fp, the fingerprint as a signed long; a null text has fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(x.as_py(), width, seed) for x in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = np.array([fingerprint(x.as_py(), width, seed) for x in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(fps, pa.int64())], ["doc_id", "h", "fp"]
+            )
 
-    texts = docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+    return keyed(docs).select("doc_id", "h", "text").mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def links(distinct: DataFrame, budget: int = 2, leaf_rows: int = 4096) -> DataFrame:
@@ -117,7 +118,7 @@ def forest(a: np.ndarray, b: np.ndarray, depth: int, differing: int, budget: int
         single = (ahi - alo == 1) & (bhi - blo == 1)
         if single.any():
             i, j = alo[single], blo[single]
-            near = np.bitwise_count(a[i] ^ b[j]) + 0 <= budget
+            near = np.bitwise_count(a[i] ^ b[j]) <= budget
             _join(parent, edges, i[near], j[near] + shift)
             alo, ahi, blo, bhi, diff = (x[~single] for x in (alo, ahi, blo, bhi, diff))
         if bit == BITS or not len(alo):
@@ -159,22 +160,41 @@ def _join(parent: np.ndarray, edges: list[tuple[int, int]], left: np.ndarray, ri
             edges.append((i, j))
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 2, seed: int = 42) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable by links of fingerprints.
-
-    Two texts link when their fingerprints differ in at most `budget` bits. Texts without words have fingerprint
-    zero and link like any other. Rows stay as they are, repeated ones too; a row with a null doc_id gets the
-    component of its fingerprint, null if no row in it has an id.
-    """
+def grouped(docs: DataFrame, width: int = 3, budget: int = 2, seed: int = 42) -> DataFrame:
+    """doc_id, h, fp and component_id of every row."""
     marked = staged(fingerprints(docs, width, seed))
     distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     joined = components(links(distinct.select("fp"), budget))
     # Fingerprints that link with no other are their own component, by the smallest id among their rows.
     owner = staged(distinct.join(joined, distinct["fp"] == joined["node"], "left").select("fp", "least", "component"))
-    groups = (
-        owner.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))
-    )
+    groups = owner.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))
     linked = owner.where("component IS NOT NULL").join(groups, "component").select("fp", "component_id")
     alone = owner.where("component IS NULL").select("fp", F.col("least").alias("component_id"))
-    out = marked.join(linked.unionAll(alone), "fp", "left")
+    return marked.join(staged(linked.unionAll(alone)), "fp", "left").select("doc_id", "h", "fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 2, seed: int = 42) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id reachable by links of fingerprints.
+
+    Two texts link when their fingerprints differ in at most `budget` bits. Texts without words have fingerprint
+    zero and link like any other. Rows stay as they are, repeated ones too; a row with a null doc_id gets the
+    component of its fingerprint, null if no row in it has an id.
+    """
+    out = grouped(docs, width, budget, seed)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, width: int = 3, budget: int = 2, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, text and `carried` of the row with the smallest doc_id of each group of near duplicates.
+
+    Rows equal in id and text are one row. A row with a null doc_id goes if its group has an id.
+    """
+    rows = staged(grouped(docs, width, budget))
+    copies = (
+        rows.groupBy("doc_id", "h")
+        .agg(F.bool_or(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("copy"), F.count(F.lit(1)).alias("n"))
+        .where("copy OR n > 1")
+    )
+    out = attached(keyed(docs, carry), staged(copies)).where("copy IS NULL OR NOT copy")
+    once = out.where("n > 1").dropDuplicates(["doc_id", "h"])
+    return out.where("n IS NULL OR n = 1").unionAll(once).select("doc_id", "text", "carried")
