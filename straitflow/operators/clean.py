@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from straitflow.config import DEDUP_KEYS, DEDUP_ORDER, SUPPLY_CHAIN_ROOTS
 from straitflow.functions.dates import date_from_int
+from straitflow.session import staged
 
 
 def with_event_date(events: DataFrame) -> DataFrame:
@@ -39,40 +40,23 @@ def dedup_events(
     return events.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-# Numbers that dedup_matching hashes keys to. They are packed 64 to a word, so its
-# broadcast has at most 2M rows of two longs, about 100 MB.
-KEY_SLOTS = 1 << 27
-
-
 def dedup_matching(
     events: DataFrame,
     predicate: Column,
     keys: Sequence[str] = DEDUP_KEYS,
     order: Sequence[str] = DEDUP_ORDER,
-    slots: int = KEY_SLOTS,
 ) -> DataFrame:
     """``dedup_events(events).filter(predicate)`` for a predicate that few rows pass.
 
-    Only keys with a passing row can come out, so the others need no shuffle. The keys
-    of the passing rows are hashed to ``slots`` bits, which bounds the broadcast whatever
-    the data, and rows whose bit is not set are dropped during the scan. Rows that share
-    a bit by accident are merely shuffled in vain. The input is scanned twice: worth it
-    over a stored table, not over an expensive plan.
+    Only keys with a passing row can come out. The 8-byte hashes of those keys are staged, and a
+    semi-join on them drops the other rows ahead of the de-duplication; rows whose hash is shared by
+    accident only travel in vain. The staged size tells the planner whether it can broadcast the
+    hashes, so that the other rows need no shuffle at all, or joins by shuffle, where AQE splits a
+    hot key. The input is scanned twice: worth it over a stored table, not over an expensive plan.
     """
-    slot = F.pmod(F.xxhash64(*keys), F.lit(slots))
-    word, bit = F.floor(F.col("_slot") / 64), (F.col("_slot") % 64).cast("int")
-    passing = (
-        events.filter(predicate)
-        .select(slot.alias("_slot"))
-        .groupBy(word.alias("_word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
-    )
-    near = (
-        events.withColumn("_slot", slot)
-        .withColumn("_word", word)
-        .join(F.broadcast(passing), "_word")
-        .filter(F.getbit("_bits", bit) == 1)
-    )
+    key = F.xxhash64(*keys)
+    passing = staged(events.filter(predicate).select(key.alias("_key")).distinct(), "keys")
+    near = events.withColumn("_key", key).join(passing, "_key", "left_semi")
     return dedup_events(near.select(*events.columns), keys, order).filter(predicate)
 
 

@@ -90,22 +90,23 @@ def labelled_prices(prices: DataFrame, settings: FeatureSettings = FeatureSettin
     )
 
 
-def feature_rows(
-    events: DataFrame,
+def event_panel(events: DataFrame, settings: FeatureSettings = FeatureSettings()) -> DataFrame:
+    """The daily panel of the scope's boxes. Copies share their day, so a day's rows depend on no other day."""
+    return daily_panel(tagged_events(events, settings), settings.conflict_roots)
+
+
+def panel_features(
+    panel: DataFrame,
     prices: DataFrame,
     macro: DataFrame,
     settings: FeatureSettings = FeatureSettings(),
 ) -> DataFrame:
-    """Joined rows before the incomplete ones are dropped."""
-    panel = rolling_means(
-        daily_panel(tagged_events(events, settings), settings.conflict_roots),
-        settings.windows,
-        mode=settings.window_mode,
-    )
+    """Rolling means, prices and macro series on a daily panel, before incomplete rows are dropped."""
+    rolled = rolling_means(panel, settings.windows, mode=settings.window_mode)
     oil = labelled_prices(prices, settings)
     spine_ends = date_bounds(normalise_prices(prices, settings.commodity), "price_date")
     daily = macro_daily(macro, spine_ends, settings.macro_series, settings.carry_in)
-    joined = join_macro(join_prices(panel, oil), daily)
+    joined = join_macro(join_prices(rolled, oil), daily)
     return joined.select(
         "event_date",
         "chokepoint",
@@ -119,6 +120,16 @@ def feature_rows(
     )
 
 
+def feature_rows(
+    events: DataFrame,
+    prices: DataFrame,
+    macro: DataFrame,
+    settings: FeatureSettings = FeatureSettings(),
+) -> DataFrame:
+    """Joined rows before the incomplete ones are dropped."""
+    return panel_features(event_panel(events, settings), prices, macro, settings)
+
+
 def feature_table(
     events: DataFrame,
     prices: DataFrame,

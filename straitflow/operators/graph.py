@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from straitflow.session import scratch_path, scratch_root
+from straitflow.session import scratch_path, scratch_root, staged
 
 
 def edge_list(df: DataFrame, src: Column, dst: Column, weight: Column) -> DataFrame:
@@ -51,9 +51,14 @@ def page_rank(
     """
     spark = edges.sparkSession
     scratch_root(spark)
-    out = edges.groupBy("src").agg(
-        F.sum("weight").cast("double").alias("out_weight"),
-        F.ceil(F.count("*") / edges_per_salt).cast("int").alias("salts"),
+    edges = staged(edges, "edge-list")
+    # Staged on its own, so that the join shuffles both sides itself and AQE can split a hub.
+    out = staged(
+        edges.groupBy("src").agg(
+            F.sum("weight").cast("double").alias("out_weight"),
+            F.ceil(F.count("*") / edges_per_salt).cast("int").alias("salts"),
+        ),
+        "out-weights",
     )
     path = scratch_path(spark, "edges")
     (

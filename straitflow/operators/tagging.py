@@ -8,7 +8,6 @@ no duplicates.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,10 +15,7 @@ from pyspark.sql import functions as F
 
 from straitflow.config import CHOKEPOINT_BOXES, Box
 from straitflow.functions.geo import LAT, LON, box_names, in_any_box, in_box, near_any_box
-
-# A box list up to this many cells is broadcast; a larger one is joined with salts.
-BROADCAST_CELLS = 200_000
-SALTS = 32
+from straitflow.session import staged
 
 
 def keep_any_box(events: DataFrame, boxes: Sequence[Box] = CHOKEPOINT_BOXES) -> DataFrame:
@@ -68,36 +64,19 @@ def _bins(low: str, high: str, step: float) -> Column:
     return F.explode(F.sequence(_bin(F.col(low), step), _bin(F.col(high), step)))
 
 
-def count_cells(boxes: Sequence[Box], lat_step: float, lon_step: float | None) -> int:
-    """How many join rows a literal box list makes, known without running anything."""
-
-    def span(low: float, high: float, step: float) -> int:
-        return math.floor(high / step) - math.floor(low / step) + 1
-
-    return sum(
-        span(b.lat_min, b.lat_max, lat_step)
-        * (span(b.lon_min, b.lon_max, lon_step) if lon_step else 1)
-        for b in boxes
-    )
-
-
 def tag_by_bins(
     events: DataFrame,
     boxes: Sequence[Box] | DataFrame = CHOKEPOINT_BOXES,
     lat_step: float = 2.0,
     lon_step: float | None = 2.0,
-    salts: int = SALTS,
-    broadcast_cells: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """Equi-join of points and boxes on latitude bands, or on cells if ``lon_step`` is given.
 
-    Boxes whose cells number at most ``broadcast_cells`` are broadcast: a literal list is
-    counted without a job, a table by a bounded count. More are joined by shuffle; as one
-    cell may hold a large share of all events (places are geocoded to a few centroids),
-    the event side is salted and the box side repeated once per salt.
+    The cells are staged, so their true size decides: a small table is broadcast by the session's
+    threshold, a large one joined by shuffle. One cell may hold a large share of all events (places
+    are geocoded to a few centroids); in a shuffle join AQE splits it.
     """
-    literal = not isinstance(boxes, DataFrame)
-    table = boxes_frame(events.sparkSession, boxes) if literal else boxes
+    table = boxes if isinstance(boxes, DataFrame) else boxes_frame(events.sparkSession, boxes)
     cells = table.withColumn("_lat_bin", _bins("lat_min", "lat_max", lat_step))
     points = events.withColumn("_lat_bin", _bin(F.col(LAT), lat_step))
     on = ["_lat_bin"]
@@ -105,26 +84,11 @@ def tag_by_bins(
         cells = cells.withColumn("_lon_bin", _bins("lon_min", "lon_max", lon_step))
         points = points.withColumn("_lon_bin", _bin(F.col(LON), lon_step))
         on.append("_lon_bin")
-    if literal:
-        size = count_cells(boxes, lat_step, lon_step)
-    else:
-        size = cells.limit(broadcast_cells + 1).count()
-    if size <= broadcast_cells:
-        cells = F.broadcast(cells)
-    else:
-        # The planner would take the exploded cells to be as small as the table of boxes.
-        cells = cells.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        ).hint("merge")
-        # The number of the task, not a hash of the row: copies of one row must spread too,
-        # and a repeated task must salt as before.
-        points = points.withColumn("_salt", F.spark_partition_id() % salts)
-        on.append("_salt")
     inside = F.col(LAT).between(F.col("lat_min"), F.col("lat_max")) & F.col(LON).between(
         F.col("lon_min"), F.col("lon_max")
     )
     return (
-        points.join(cells, on)
+        points.join(staged(cells, "cells"), on)
         .filter(inside)
         .select(*events.columns, F.col("name").alias("chokepoint"))
     )

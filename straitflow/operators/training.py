@@ -19,7 +19,9 @@ from straitflow.config import MODEL_INPUTS
 # The forest and the grid that is searched.
 NUM_TREES, MAX_DEPTH, SEED = 100, 8, 42
 GRID_TREES, GRID_DEPTHS, FOLDS = (50, 100), (5, 8), 3
-MIN_TRAIN_ROWS = 10
+
+# Partitions of training rows; part of what makes a seeded forest repeatable.
+PARTITIONS = 4
 
 
 def assembler(inputs: Sequence[str] = MODEL_INPUTS) -> VectorAssembler:
@@ -78,10 +80,11 @@ def forest(num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH) -> RandomFore
     )
 
 
-def stable_rows(rows: DataFrame, partitions: int = 4) -> DataFrame:
+def stable_rows(rows: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
     """Fixed placement and order, on which the sampling of a seeded forest depends.
 
-    A feature table has one row per day and box, so a fixed number of partitions is enough.
+    A feature table has one row per day and box; with many boxes, take more partitions, and
+    the same number whenever a forest is to be repeated.
     """
     return rows.repartition(partitions, "event_date", "chokepoint").sortWithinPartitions(
         "event_date", "chokepoint"
@@ -113,7 +116,11 @@ def cross_validate(
     depths: Sequence[int] = GRID_DEPTHS,
     time_folds: bool = False,
     parallelism: int = 4,
+    partitions: int = PARTITIONS,
 ) -> CrossValidatorModel:
+    """A forest per grid point and fold; fewer rows than folds are an error."""
+    if train.limit(FOLDS).count() < FOLDS:
+        raise ValueError(f"{FOLDS} folds need as many rows; fit without cross-validation instead")
     rf = forest()
     grid = (
         ParamGridBuilder()
@@ -132,7 +139,7 @@ def cross_validate(
     if time_folds:
         train = with_time_folds(train)
         cv = cv.setFoldCol("fold")
-    return cv.fit(stable_rows(train))
+    return cv.fit(stable_rows(train, partitions))
 
 
 def fit_forest(
@@ -140,15 +147,17 @@ def fit_forest(
     inputs: Sequence[str] = MODEL_INPUTS,
     num_trees: int = NUM_TREES,
     max_depth: int = MAX_DEPTH,
+    partitions: int = PARTITIONS,
 ) -> PipelineModel:
-    return Pipeline(stages=[assembler(inputs), forest(num_trees, max_depth)]).fit(stable_rows(train))
+    stages = [assembler(inputs), forest(num_trees, max_depth)]
+    return Pipeline(stages=stages).fit(stable_rows(train, partitions))
 
 
-def train_best(train: DataFrame, inputs: Sequence[str] = MODEL_INPUTS, **grid) -> PipelineModel:
-    """Cross-validated winner, or a direct fit when there are too few rows for folds."""
-    if train.limit(MIN_TRAIN_ROWS).count() < MIN_TRAIN_ROWS:
-        return fit_forest(train, inputs)
-    return cross_validate(train, inputs, **grid).bestModel
+def train_best(
+    train: DataFrame, inputs: Sequence[str] = MODEL_INPUTS, search: bool = True, **grid
+) -> PipelineModel:
+    """The winner of the cross-validated grid, or with ``search=False`` a direct fit."""
+    return cross_validate(train, inputs, **grid).bestModel if search else fit_forest(train, inputs)
 
 
 def grid_scores(spark: SparkSession, fitted: CrossValidatorModel) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+import uuid
+from datetime import date, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -11,23 +12,70 @@ from pyspark.sql import functions as F
 from straitflow.config import FeatureSettings
 from straitflow.functions.geo import box_names
 from straitflow.operators.clean import dedup_events
-from straitflow.operators.features import analysis_rows, feature_table, keep_from
-from straitflow.operators.training import importances, metrics, time_split, train_best
+from straitflow.operators.features import (
+    analysis_rows,
+    complete_rows,
+    event_panel,
+    keep_from,
+    panel_features,
+)
+from straitflow.operators.training import confusion_matrix, importances, metrics, time_split, train_best
 from straitflow.sources.events import read_event_store, scan_events, write_event_store
 from straitflow.sources.market import coalesce_close, scan_macro, scan_wide_prices
 
 
-def ingest(spark: SparkSession, raw: str, store: str, rebalance: bool = True) -> int:
+def ingest(
+    spark: SparkSession,
+    raw: str,
+    store: str,
+    delivery: str | None = None,
+    rebuild: bool = False,
+    rebalance: bool = True,
+) -> int:
     """Event files to the store in one pass; returns the rows loaded, counted along the way.
 
-    The counter is for progress: a task that had to be repeated may be counted twice.
+    A named delivery can be repeated; without a name every call adds one of its own. With ``rebuild``
+    these files become the whole store. The counter is for progress: a task that had to be
+    repeated may be counted twice.
     """
     loaded = Observation("loaded")
-    rows = scan_events(spark, raw).observe(loaded, F.count(F.lit(1)).alias("rows"))
-    write_event_store(rows, store, rebalance=rebalance)
+    rows = scan_events(spark, raw, lineage=True).observe(loaded, F.count(F.lit(1)).alias("rows"))
+    write_event_store(rows, store, delivery or uuid.uuid4().hex, rebuild=rebuild, rebalance=rebalance)
     return loaded.get["rows"]
 
 
+def build_panel(
+    spark: SparkSession,
+    store: str,
+    out: str,
+    settings: FeatureSettings = FeatureSettings(),
+    start: date | None = None,
+    end: date | None = None,
+) -> DataFrame:
+    """The daily panel of a range of days, written by month; returns the panel of all months written so far.
+
+    A day depends on its own events only, so a long history may be built range by range. A range has
+    to cover whole months, since a month is replaced as a whole.
+    """
+    if (start and start.day != 1) or (end and (end + timedelta(days=1)).day != 1):
+        raise ValueError("a range of the panel begins and ends with a month")
+    write_panel(event_panel(read_event_store(spark, store, start, end), settings), out)
+    return spark.read.parquet(out).drop("year", "month")
+
+
+def write_panel(panel: DataFrame, out: str) -> None:
+    """A daily panel by month; the months that it has replace those written before."""
+    (
+        panel.filter("event_date IS NOT NULL")
+        .withColumns({"year": F.year("event_date"), "month": F.month("event_date")})
+        .repartition("year", "month")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year", "month")
+        .parquet(out)
+    )
+
+
 def build_features(
     spark: SparkSession,
     store: str,
@@ -37,14 +85,21 @@ def build_features(
     settings: FeatureSettings = FeatureSettings(),
     start: date | None = None,
     end: date | None = None,
+    panel: DataFrame | None = None,
 ) -> DataFrame:
-    """Store and market files to the written feature table."""
-    table = feature_table(
-        read_event_store(spark, store, start, end),
-        coalesce_close(scan_wide_prices(spark, prices)),
-        scan_macro(spark, macro),
-        settings,
-    )
+    """Store and market files to the written feature table, restricted to ``start`` .. ``end``.
+
+    The restriction follows the rolling means, which see all earlier days. With a panel from
+    ``build_panel`` no event is read again.
+    """
+    if panel is None:
+        panel = event_panel(read_event_store(spark, store, end=end), settings)
+    closes = coalesce_close(scan_wide_prices(spark, prices))
+    table = complete_rows(panel_features(panel, closes, scan_macro(spark, macro), settings))
+    if start is not None:
+        table = keep_from(table, start)
+    if end is not None:
+        table = table.filter(F.col("event_date") <= F.lit(end))
     table.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
@@ -53,24 +108,28 @@ def train(
     spark: SparkSession,
     features: DataFrame,
     model_path: str,
-    start: date | None = date(2024, 1, 1),
+    start: date | None = None,
     **grid,
-) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Fit on the training range, save, and return model, held-out metrics and importances."""
+) -> tuple[PipelineModel, DataFrame, DataFrame, DataFrame]:
+    """Fit on the training range and save; returns model, held-out metrics, importances and the confusion matrix."""
     rows = features if start is None else keep_from(features, start)
     split = time_split(rows).persist()
     try:
         model = train_best(split.filter(F.col("split") == "train"), **grid)
         model.write().overwrite().save(model_path)
+        # A handful of rows each: evaluated here, while the split is still cached.
         held_out = model.transform(split.filter(F.col("split") != "train"))
-        # A handful of rows: evaluated here, while the split is still cached.
+        matrix = spark.createDataFrame(
+            confusion_matrix(held_out, "split").collect(),
+            "split string, label int, prediction int, row_count long",
+        )
         scores = spark.createDataFrame(
             metrics(held_out, "split").collect(),
             "split string, row_count long, accuracy double, f1 double",
         )
     finally:
         split.unpersist()
-    return model, scores, importances(spark, model)
+    return model, scores, importances(spark, model), matrix
 
 
 def preprocessing_funnel(

@@ -86,11 +86,13 @@ _CTES = {
                CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS close
         FROM orders GROUP BY 1, 2""",
     "macro": """
-        SELECT CAST(l_shipdate AS DATE) AS date,
-               CAST(SUM(CAST(l_discount*100 AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS treasury_10y,
-               CASE WHEN day(CAST(l_shipdate AS DATE)) = 1
-                    THEN CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) END AS usd_index
-        FROM lineitem WHERE day(CAST(l_shipdate AS DATE)) IN (1, 8, 15, 22) GROUP BY 1""",
+        SELECT coalesce(wk.date, mo.date) AS date, wk.treasury_10y, mo.usd_index
+        FROM (SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS date,
+                     CAST(SUM(CAST(l_discount*100 AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS treasury_10y
+              FROM lineitem GROUP BY 1) wk
+        FULL OUTER JOIN (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
+                     CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS usd_index
+              FROM lineitem GROUP BY 1) mo ON wk.date = mo.date""",
     "boxes": "SELECT * FROM (VALUES "
     + ", ".join(
         f"('{b.name}', CAST({b.lat_min} AS DOUBLE), CAST({b.lat_max} AS DOUBLE), "
@@ -219,6 +221,12 @@ _BODIES = {
     "scan_event_store": f"SELECT {_BRIEF_F32}, {_YEAR_MONTH} FROM incident",
     "scan_pruned_partitions": f"SELECT {_BRIEF_F32} FROM incident WHERE event_date BETWEEN DATE '1996-03-15' AND DATE '1997-06-20'",
     "incremental_intake": _BY_MONTH,
+    "store_mixed_loads": _BY_MONTH,
+    "store_late_rows": """
+        SELECT CAST(CASE WHEN mentions = 6 THEN 0 ELSE year(event_date) END AS INTEGER) AS year,
+               CAST(CASE WHEN mentions = 6 THEN 0 ELSE month(event_date) END AS INTEGER) AS month,
+               count(*) AS row_count, CAST(sum(mentions) AS BIGINT) AS total_mentions
+        FROM incident GROUP BY 1, 2""",
     "sink_event_store_roundtrip": _BY_MONTH,
     "sink_features_roundtrip": f"SELECT {_FEATURE_COLUMNS} FROM features",
     "preprocessing_funnel": """
@@ -231,7 +239,7 @@ _BODIES = {
     "catalog_event_table": """
         SELECT CAST(year(event_date) AS INTEGER) AS year, root_code, count(*) AS row_count,
                CAST(sum(mentions) AS BIGINT) AS total_mentions
-        FROM incident WHERE year(event_date) >= 1997 GROUP BY 1, 2""",
+        FROM incident GROUP BY 1, 2""",
     "tier_summaries": f"""
         SELECT CAST(date_trunc('month', event_date) AS DATE) AS month_start, chokepoint, count(*) AS event_count,
                CAST(sum(mentions) AS BIGINT) AS total_mentions,
@@ -333,6 +341,7 @@ _BODIES = {
         FROM oil_panel LEFT JOIN macro_daily ON event_date = date""",
     "feature_table": f"SELECT {_FEATURE_COLUMNS} FROM features",
     "feature_table_all_boxes": f"SELECT {_FEATURE_COLUMNS} FROM complete",
+    "feature_table_by_month": f"SELECT {_FEATURE_COLUMNS} FROM features",
     "label_histogram": "SELECT label, count(*) AS row_count FROM features GROUP BY 1 ORDER BY 1",
     "assembled_rows": f"SELECT event_date, chokepoint, CAST({len(MODEL_INPUTS)} AS INTEGER) AS vector_size, {_round(MODEL_INPUTS)} FROM features",
     "time_split": "SELECT event_date, chokepoint, split FROM splits",
@@ -360,7 +369,38 @@ _BODIES = {
     "stream_alerts": f"""
         SELECT event_date, chokepoint, event_count, round(conflict_ratio, 6) AS conflict_ratio FROM panel_live
         WHERE event_count >= 2 AND conflict_ratio >= 0.75 AND {_CLOSED_DAY.format('event_date + 1')}""",
-    "stream_late_data": f"SELECT event_date, event_type, count(*) AS event_count FROM click WHERE {_CLOSED_CLICKS} GROUP BY 1, 2",
+    "stream_rolling_30d": f"""
+        SELECT CAST(event_date + k AS DATE) AS last_date, chokepoint, count(*) AS event_count,
+               CAST(sum(mentions) AS BIGINT) AS total_mentions
+        FROM tagged_live, (SELECT CAST(unnest(range(30)) AS INTEGER) AS k)
+        WHERE {_CLOSED_DAY.format('event_date + k + 1')} GROUP BY 1, 2""",
+    # The watermark of the first batch, a day behind its newest row, closes days for the third.
+    "stream_late_data": f"""
+        SELECT event_date, event_type, count(*) AS event_count FROM click
+        WHERE {_CLOSED_CLICKS} AND (event_id % 10 <> 0 OR event_date + 1 >
+              (SELECT max(ts) FROM events WHERE event_id % 10 > 1) - INTERVAL 1 DAY)
+        GROUP BY 1, 2""",
+    "return_terciles_approx": "SELECT true AS low_ok, true AS high_ok",
+    "rf_predictions": """
+        SELECT split, label, count(*) AS row_count, count(*) AS predicted_rows, true AS same_accuracy
+        FROM splits WHERE split <> 'train' GROUP BY 1, 2""",
+    "forest_confusion_matrix": """
+        SELECT split, label, CAST(count(*) AS BIGINT) AS row_count FROM splits WHERE split <> 'train' GROUP BY 1, 2""",
+    "feature_importances": "SELECT feature, true AS is_share, CAST(1 AS DOUBLE) AS total FROM (VALUES "
+    + ", ".join(f"('{c}')" for c in MODEL_INPUTS)
+    + ") AS inputs(feature)",
+    "cv_grid": """
+        SELECT num_trees, max_depth, CAST(3 AS INTEGER) AS folds, true AS is_score
+        FROM (VALUES (50, 5), (50, 8), (100, 5), (100, 8)) AS grid(num_trees, max_depth)""",
+    "model_roundtrip": """
+        SELECT split, count(*) AS row_count, CAST(0 AS BIGINT) AS disagreements
+        FROM splits WHERE split <> 'train' GROUP BY 1""",
+    "stream_score": """
+        SELECT split, count(*) AS row_count, CAST(0 AS BIGINT) AS disagreements FROM splits GROUP BY 1""",
+    "ablation_metrics": """
+        SELECT s.inputs, p.split, p.row_count, true AS is_share
+        FROM (VALUES ('all'), ('events'), ('prices'), ('macro')) AS s(inputs),
+             (SELECT split, CAST(count(*) AS BIGINT) AS row_count FROM splits WHERE split <> 'train' GROUP BY 1) p""",
     "graph_edges": """
         SELECT n_name AS src, o_orderpriority AS dst, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS weight
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""",

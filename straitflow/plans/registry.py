@@ -11,7 +11,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from straitflow.config import (
@@ -160,6 +160,12 @@ def scan_pruned_partitions(spark: SparkSession, d: str) -> DataFrame:
     return _brief(store)
 
 
+def _rows_by_month(store: DataFrame) -> DataFrame:
+    return store.groupBy("year", "month").agg(
+        F.count("*").alias("row_count"), F.sum("NumMentions").alias("total_mentions")
+    )
+
+
 @query
 def incremental_intake(spark: SparkSession, d: str) -> DataFrame:
     """Two deliveries into one landing folder, one load after each, one with nothing new."""
@@ -170,11 +176,33 @@ def incremental_intake(spark: SparkSession, d: str) -> DataFrame:
         if delivery is not None:
             _write_event_files(sample.as_event_rows(delivery), f"{root}/landing", "append")
         events.append_new_files(spark, f"{root}/landing", f"{root}/store", f"{root}/checkpoint")
-    return (
-        spark.read.parquet(f"{root}/store")
-        .groupBy("year", "month")
-        .agg(F.count("*").alias("row_count"), F.sum("NumMentions").alias("total_mentions"))
-    )
+    return _rows_by_month(events.read_event_store(spark, f"{root}/store"))
+
+
+@query
+def store_mixed_loads(spark: SparkSession, d: str) -> DataFrame:
+    """One store from a batch load, an incremental one, another batch load and its repetition."""
+    root = scratch_path(spark, "mixed")
+    rows = sample.as_event_rows(sample.table(spark, d, "lineitem"))
+    part = F.pmod(F.xxhash64("GLOBALEVENTID"), F.lit(3))
+    events.write_event_store(rows.filter(part == 0), f"{root}/store", delivery="first")
+    _write_event_files(rows.filter(part == 1), f"{root}/landing")
+    events.append_new_files(spark, f"{root}/landing", f"{root}/store", f"{root}/checkpoint")
+    for _ in range(2):
+        events.write_event_store(rows.filter(part == 2), f"{root}/store", delivery="second")
+    return _rows_by_month(events.read_event_store(spark, f"{root}/store"))
+
+
+@query
+def store_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Late rows of every month, and rows whose date is no date, in a delivery after the others."""
+    path = scratch_path(spark, "late")
+    rows = sample.as_event_rows(sample.table(spark, d, "lineitem"))
+    late, undated = F.col("NumMentions") == 7, F.col("NumMentions") == 6
+    dated = rows.withColumn("SQLDATE", F.when(~undated, F.col("SQLDATE")))
+    events.write_event_store(dated.filter(~late), path, delivery="in time")
+    events.write_event_store(dated.filter(late), path, delivery="late")
+    return _rows_by_month(events.read_event_store(spark, path))
 
 
 @query
@@ -210,7 +238,7 @@ def catalog_event_table(spark: SparkSession, d: str) -> DataFrame:
         f"""
         SELECT year, EventRootCode AS root_code, count(*) AS row_count,
                sum(NumMentions) AS total_mentions
-        FROM {name} WHERE year >= 1997 GROUP BY year, EventRootCode
+        FROM {name} GROUP BY year, EventRootCode
         """
     )
 
@@ -292,12 +320,13 @@ def price_union(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def macro_normalise(spark: SparkSession, d: str) -> DataFrame:
-    """A downloaded series: padded headers, '.' where nothing was reported."""
-    raw = sample.sample_macro(spark, d).select(
+    """A downloaded series: a padded header, '.' where nothing was reported."""
+    path = scratch_path(spark, "series-file")
+    sample.sample_macro(spark, d).select(
         F.col("date").cast("string").alias(" Date"),
         F.coalesce(F.col("usd_index").cast("string"), F.lit(".")).alias("DTWEXBGS "),
-    )
-    return _rounded(market.normalise_macro(raw, "usd_index"))
+    ).write.option("header", True).csv(path)
+    return _rounded(market.scan_series(spark, path, "usd_index"))
 
 
 @query
@@ -461,8 +490,27 @@ def return_terciles(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def return_terciles_approx(spark: SparkSession, d: str) -> DataFrame:
-    prices = series.with_forward_return(_oil(spark, d))
-    return _rounded(labels.return_quantiles(prices, approximate=True))
+    """Whether the rank of each cut of the sketch is within one in its accuracy of the wanted rank."""
+    prices = staged(series.with_forward_return(_oil(spark, d)), "returns")
+    cuts = labels.return_quantiles(prices, approximate=True)
+    below = [
+        F.count_if(F.col("fwd_return_5d") <= F.col(c)).alias(f"{c}_below") for c in ("low", "high")
+    ]
+    at = [F.count_if(F.col("fwd_return_5d") < F.col(c)).alias(f"{c}_under") for c in ("low", "high")]
+    named = cuts.agg(F.struct(F.max("low").alias("low"), F.max("high").alias("high")))
+    ranked = (
+        prices.filter("fwd_return_5d IS NOT NULL")
+        .withColumn("_cuts", named.scalar())
+        .select("fwd_return_5d", "_cuts.low", "_cuts.high")
+        .agg(F.count("*").alias("n"), *below, *at)
+    )
+
+    def close(c: str, share: float) -> Column:
+        slack = F.col("n") / 100.0 + 1
+        wanted = F.col("n") * share
+        return (F.col(f"{c}_under") <= wanted + slack) & (F.col(f"{c}_below") >= wanted - slack)
+
+    return ranked.select(close("low", 0.33).alias("low_ok"), close("high", 0.66).alias("high_ok"))
 
 
 @query
@@ -551,6 +599,19 @@ def feature_table_all_boxes(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(_features(spark, d, ALL_BOXES))
 
 
+@query
+def feature_table_by_month(spark: SparkSession, d: str) -> DataFrame:
+    """The feature table from a panel that was built range by range: equal to the one built at once."""
+    rows, out = sample.sample_events(spark, d), scratch_path(spark, "panel")
+    cuts = [date(1000, 1, 1), date(1996, 5, 1), date(1998, 2, 1), date(2000, 11, 1), date(9999, 12, 31)]
+    for start, after in zip(cuts, cuts[1:]):
+        days = (F.col("event_date") >= F.lit(start)) & (F.col("event_date") < F.lit(after))
+        jobs.write_panel(features.event_panel(rows.filter(days), SETTINGS), out)
+    built = spark.read.parquet(out).drop("year", "month")
+    table = features.panel_features(built, sample.sample_prices(spark, d), sample.sample_macro(spark, d), SETTINGS)
+    return _rounded(features.complete_rows(table))
+
+
 @query
 def label_histogram(spark: SparkSession, d: str) -> DataFrame:
     return labels.label_histogram(_features(spark, d))
@@ -597,35 +658,88 @@ def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return split.filter(F.col("split") == "train"), split.filter(F.col("split") != "train")
 
 
+def _disagreements(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows by split, and those to which two sets of predictions give different classes, or one gives none."""
+    theirs = other.select("event_date", "chokepoint", F.col("prediction").alias("_other"))
+    return (
+        one.join(theirs, ["event_date", "chokepoint"], "left")
+        .groupBy("split")
+        .agg(
+            F.count("*").alias("row_count"),
+            F.count_if(~F.col("prediction").eqNullSafe(F.col("_other"))).alias("disagreements"),
+        )
+    )
+
+
 @query
 def rf_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Predicted rows by split and label, and whether accuracy is the same from rows and from the matrix."""
     train, held_out = _split(spark, d)
-    predicted = training.fit_forest(train).transform(held_out)
-    return predicted.select("event_date", "chokepoint", "split", "label", "prediction")
+    predicted = training.fit_forest(train).transform(held_out).select("split", "label", "prediction")
+    predicted = staged(predicted, "predicted")
+    from_rows = predicted.groupBy("split").agg(
+        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("_from_rows")
+    )
+    from_matrix = training.metrics(predicted, "split").select("split", F.col("accuracy").alias("_from_matrix"))
+    return (
+        predicted.groupBy("split", "label")
+        .agg(
+            F.count("*").alias("row_count"),
+            F.count_if(F.col("prediction").isin(0.0, 1.0, 2.0)).alias("predicted_rows"),
+        )
+        .join(from_rows.join(from_matrix, "split"), "split")
+        .select(
+            "split",
+            "label",
+            "row_count",
+            "predicted_rows",
+            (F.abs(F.col("_from_rows") - F.col("_from_matrix")) < 1e-9).alias("same_accuracy"),
+        )
+    )
 
 
 @query
 def feature_importances(spark: SparkSession, d: str) -> DataFrame:
+    """The inputs, whether each importance is a share, and the sum of all."""
     train, _ = _split(spark, d)
-    return training.importances(spark, training.fit_forest(train))
+    values = training.importances(spark, training.fit_forest(train))
+    total = values.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return values.select(
+        "feature", F.col("importance").between(0, 1).alias("is_share"), total.scalar().alias("total")
+    )
 
 
 @query
 def cv_grid(spark: SparkSession, d: str) -> DataFrame:
+    """The grid points, the folds of each, and whether its mean F1 is one."""
     train, _ = _split(spark, d)
-    return training.grid_scores(spark, training.cross_validate(train))
+    scores = training.grid_scores(spark, training.cross_validate(train))
+    return scores.select(
+        "num_trees", "max_depth", F.lit(training.FOLDS).alias("folds"), F.col("mean_f1").between(0, 1).alias("is_score")
+    )
 
 
 @query
 def model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Held-out rows by split, and those that a saved and loaded forest classes otherwise."""
     train, held_out = _split(spark, d)
     path = scratch_path(spark, "model")
-    training.fit_forest(train).write().overwrite().save(path)
-    return PipelineModel.load(path).transform(held_out).select("event_date", "chokepoint", "prediction")
+    model = training.fit_forest(train)
+    model.write().overwrite().save(path)
+    return _disagreements(model.transform(held_out), PipelineModel.load(path).transform(held_out))
+
+
+@query
+def forest_confusion_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """The matrix of the fitted forest on held-out rows, summed over its predictions."""
+    train, held_out = _split(spark, d)
+    cells = training.confusion_matrix(training.fit_forest(train).transform(held_out), "split")
+    return cells.groupBy("split", "label").agg(F.sum("row_count").alias("row_count"))
 
 
 @query
 def ablation_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """The rows that each subset of the inputs was judged on, and whether its scores are shares."""
     train, held_out = _split(spark, d)
     subsets = {
         "all": MODEL_INPUTS,
@@ -633,36 +747,55 @@ def ablation_metrics(spark: SparkSession, d: str) -> DataFrame:
         "prices": MODEL_INPUTS[10:13],
         "macro": MODEL_INPUTS[13:],
     }
-    return training.ablation(train.unionByName(held_out), subsets, num_trees=50, max_depth=5)
+    scores = training.ablation(train.unionByName(held_out), subsets, num_trees=50, max_depth=5)
+    shares = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1)
+    return scores.select("inputs", "split", "row_count", shares.alias("is_share"))
 
 
 # --- streaming --------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    # As a pattern the path may name one file or a folder of files.
-    pattern = f"{d}/{name}[.]parquet"
-    return stream_io.file_stream(spark, pattern, sample.table(spark, d, name).schema)
+def _delivered(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """A stream over deliveries, a batch each."""
+    path = scratch_path(spark, "deliveries")
+    stream_io.deliver(parts, path)
+    return stream_io.file_stream(spark, path, parts[0].schema, files_per_trigger=1)
+
+
+def _by_days(frame: DataFrame, day: str, batches: int = 4) -> list[DataFrame]:
+    """A table cut into spans of days, in their order."""
+    on = F.col(day).cast("date")
+    ends = frame.agg(F.min(on).alias("mn"), F.max(on).alias("mx")).first()
+    if ends["mn"] is None:
+        return [frame]
+    span = (ends["mx"] - ends["mn"]).days // batches + 1
+    slot = F.floor(F.date_diff(on, F.lit(ends["mn"])) / span)
+    return [frame.filter(slot == i) for i in range(batches)]
 
 
-def _click_stream(spark: SparkSession, d: str) -> DataFrame:
-    return _stream(spark, d, "events").withColumn("event_time", utc_timestamp("ts"))
+def _clicks(stream: DataFrame) -> DataFrame:
+    return stream.withColumn("event_time", utc_timestamp("ts"))
+
+
+def _replayed(spark: SparkSession, d: str, name: str, day: str) -> DataFrame:
+    return _delivered(spark, _by_days(sample.table(spark, d, name), day))
 
 
 def _tagged_stream(spark: SparkSession, d: str) -> DataFrame:
-    return steps.tagged_stream(sample.as_analysis_rows(_stream(spark, d, "lineitem")))
+    return steps.tagged_stream(sample.as_analysis_rows(_replayed(spark, d, "lineitem", "l_shipdate")))
 
 
 @query
 def stream_replay_count(spark: SparkSession, d: str) -> DataFrame:
-    counts = _stream(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("event_count"))
+    stream = _replayed(spark, d, "events", "ts")
+    counts = stream.groupBy("event_type").agg(F.count("*").alias("event_count"))
     return stream_io.run_update(counts, "replay", ["event_type"])
 
 
 @query
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     keys = ["user_id", "event_type", "event_date"]
-    stream = _click_stream(spark, d).withColumn("event_date", F.col("ts").cast("date"))
+    stream = _clicks(_replayed(spark, d, "events", "ts")).withColumn("event_date", F.col("ts").cast("date"))
     return stream_io.run_append(steps.dedup_stream(stream, keys).select(*keys), "dedup")
 
 
@@ -677,6 +810,11 @@ def stream_rolling_7d(spark: SparkSession, d: str) -> DataFrame:
     return stream_io.run_append(steps.rolling_stream(_tagged_stream(spark, d)), "rolling")
 
 
+@query
+def stream_rolling_30d(spark: SparkSession, d: str) -> DataFrame:
+    return stream_io.run_append(steps.rolling_stream(_tagged_stream(spark, d), days=30), "rolling")
+
+
 @query
 def stream_enrich(spark: SparkSession, d: str) -> DataFrame:
     prices = staged(series.price_features(_oil(spark, d)), "prices")
@@ -691,13 +829,13 @@ def stream_enrich(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_score(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "features")
-    _features(spark, d).write.parquet(path)
-    table = spark.read.parquet(path)
-    split = training.time_split(table)
+    """Per split, the scored rows and those that the stream scores otherwise than the batch."""
+    table = _written_features(spark, d)
+    split = staged(training.time_split(table), "split")
     model = training.fit_forest(split.filter(F.col("split") == "train"), num_trees=20, max_depth=5)
-    stream = stream_io.file_stream(spark, path, table.schema)
-    return stream_io.run_append(steps.score_stream(stream, model), "scores")
+    stream = _delivered(spark, _by_days(table, "event_date"))
+    live = stream_io.run_append(steps.score_stream(stream, model), "scores")
+    return _disagreements(model.transform(split), live)
 
 
 @query
@@ -713,7 +851,16 @@ def stream_alerts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_late_data(spark: SparkSession, d: str) -> DataFrame:
-    return stream_io.run_append(steps.count_by_day(_click_stream(spark, d), "event_type"), "late")
+    """Three deliveries, the last with rows of all days: those of days closed by then are dropped.
+
+    A batch tells late rows by the watermark that the batch before it worked with, so the first
+    delivery's newest row decides for the third.
+    """
+    rows = sample.table(spark, d, "events")
+    last_digit = F.col("event_id") % 10
+    parts = [rows.filter(last_digit > 1), rows.filter(last_digit == 1), rows.filter(last_digit == 0)]
+    stream = _clicks(_delivered(spark, parts))
+    return stream_io.run_append(steps.count_by_day(stream, "event_type"), "late")
 
 
 # --- graph ------------------------------------------------------------------

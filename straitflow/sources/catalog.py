@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from straitflow.sources.schemas import ANALYSIS_COLUMNS
@@ -12,25 +12,32 @@ from straitflow.sources.schemas import ANALYSIS_COLUMNS
 
 def create_event_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """An external table over a partitioned store; its partitions are found on disk."""
-    fields = [f for f in spark.read.parquet(path).schema.fields if f.name not in ("year", "month")]
+    keys = ("year", "month", "delivery")
+    fields = [f for f in spark.read.parquet(path).schema.fields if f.name not in keys]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(
-        f"CREATE TABLE {name} ({columns}, year INT, month INT) USING parquet "
-        f"PARTITIONED BY (year, month) LOCATION '{path}'"
+        f"CREATE TABLE {name} ({columns}, year INT, month INT, delivery STRING) USING parquet "
+        f"PARTITIONED BY (year, month, delivery) LOCATION '{path}'"
     )
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)
 
 
+def _before(cutoff: date) -> Column:
+    """The dated months before a cutoff, which has to be the first of a month: stores are cut by month."""
+    if cutoff.day != 1:
+        raise ValueError("stores are cut between months: the cutoff must be the first of one")
+    return (F.col("year") > 0) & (F.col("year") * 12 + F.col("month") < cutoff.year * 12 + cutoff.month)
+
+
 def archive_before(spark: SparkSession, store: str, archive: str, cutoff: date) -> None:
     """Copy the months before ``cutoff`` to an archive: analysis columns only, zstd.
 
-    The store itself is left alone; dropping its old directories is a separate decision.
+    Months that the archive has are replaced. Undated rows stay in the store, which is left alone.
     """
-    month_no = F.col("year") * 12 + F.col("month")
     (
         spark.read.parquet(store)
-        .filter(month_no < cutoff.year * 12 + cutoff.month)
+        .filter(_before(cutoff))
         .select(*ANALYSIS_COLUMNS, "year", "month")
         .hint("rebalance", F.col("year"), F.col("month"))
         .sortWithinPartitions("year", "month", "event_date")
@@ -40,3 +47,26 @@ def archive_before(spark: SparkSession, store: str, archive: str, cutoff: date)
         .partitionBy("year", "month")
         .parquet(archive)
     )
+
+
+def retire_before(spark: SparkSession, store: str, archive: str, cutoff: date) -> list[tuple[int, int]]:
+    """Archive the months before ``cutoff``, then delete them from the store; returns the months.
+
+    Nothing is deleted unless the archive holds as many rows of each month as the store. A call
+    that broke off can be repeated: months that are gone already stay as they are in the archive.
+    """
+    archive_before(spark, store, archive, cutoff)
+
+    def months(path: str) -> dict[tuple[int, int], int]:
+        counted = spark.read.parquet(path).filter(_before(cutoff)).groupBy("year", "month").count()
+        return {(r["year"], r["month"]): r["count"] for r in counted.collect()}  # a row per month
+
+    here, there = months(store), months(archive)
+    missing = [m for m, n in here.items() if there.get(m) != n]
+    if missing:
+        raise RuntimeError(f"the archive is not complete for {missing}; nothing was deleted")
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for year, month in here:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{store}/year={year}/month={month}"), True)
+    return sorted(here)

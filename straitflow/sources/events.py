@@ -28,9 +28,18 @@ def scan_events(spark: SparkSession, path: str, quote: str = "", lineage: bool =
 
 
 def write_event_store(
-    events: DataFrame, path: str, rows_per_file: int = 20_000_000, rebalance: bool = True
+    events: DataFrame,
+    path: str,
+    delivery: str = "all",
+    rebuild: bool = False,
+    rows_per_file: int = 20_000_000,
+    rebalance: bool = True,
 ) -> None:
-    """Parquet by year and month; a re-run of one month replaces only that month.
+    """Parquet by year, month and delivery; rows without a valid date go to year 0, month 0.
+
+    A delivery is what one load brings. Writing it again replaces its own rows in the months
+    that it has and touches no others, so a repeated load adds nothing twice, and late or
+    undated rows never displace those of other loads. ``rebuild`` replaces the whole store.
 
     The rebalance hint lets AQE split a month that is far larger than the rest over
     many tasks and merge small ones, so no task has to write a whole hot month. Without
@@ -39,14 +48,24 @@ def write_event_store(
     groups by either.
     """
     dated = with_date_parts(with_event_date(events))
+    if "file_name" not in dated.columns:
+        dated = dated.withColumn("file_name", F.lit(None).cast("string"))
+    dated = dated.withColumns(
+        {
+            "year": F.coalesce("year", F.lit(0)),
+            "month": F.coalesce("month", F.lit(0)),
+            # Never a number, so that readers find a string.
+            "delivery": F.lit(f"load-{delivery}"),
+        }
+    )
     if rebalance:
         dated = dated.hint("rebalance", F.col("year"), F.col("month"))
     (
         dated.sortWithinPartitions("year", "month", "event_date", "EventRootCode")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if rebuild else "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("year", "month")
+        .partitionBy("year", "month", "delivery")
         .parquet(path)
     )
 
@@ -54,7 +73,7 @@ def write_event_store(
 def read_event_store(
     spark: SparkSession, path: str, start: date | None = None, end: date | None = None
 ) -> DataFrame:
-    """The store, restricted to ``start <= event_date <= end``.
+    """The store, restricted to ``start <= event_date <= end``; without a range, undated rows too.
 
     The range is restated on the partition columns, so that whole months outside it
     are never listed, and on ``event_date`` for the rows of the border months.
@@ -68,24 +87,31 @@ def read_event_store(
     return df
 
 
-def append_new_files(spark: SparkSession, landing: str, store: str, checkpoint: str) -> None:
+def append_new_files(
+    spark: SparkSession, landing: str, store: str, checkpoint: str, files_per_batch: int = 64
+) -> None:
     """Load the event files that earlier calls have not seen, then stop.
 
-    The checkpoint of the file source is the list of loaded files.
+    The checkpoint of the file source is the list of loaded files. Every batch is a delivery
+    of the store, named after the checkpoint's own id and the batch, so that a batch that had to be
+    repeated replaces itself, and other loaders can write to the same store.
     """
     files = (
         spark.readStream.schema(EVENT_SCHEMA)
         .option("sep", "\t")
         .option("quote", "")
+        .option("maxFilesPerTrigger", files_per_batch)
         .csv(landing)
         .withColumn("file_name", F.col("_metadata.file_name"))
     )
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_event_store(batch, store, delivery=f"{query_id}-{batch_id:08d}")
+
     query = (
-        with_date_parts(with_event_date(files))
-        .writeStream.format("parquet")
-        .option("path", store)
+        files.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("year", "month")
         .trigger(availableNow=True)
         .start()
     )

@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from straitflow.sources.schemas import MACRO_SCHEMA, PRICE_SCHEMA
@@ -48,15 +48,29 @@ def select_commodity(prices: DataFrame, commodity: str) -> DataFrame:
     return prices.filter(F.col("commodity") == commodity)
 
 
+def one_report(value: Column, what: str) -> Column:
+    """The value of a group whose rows must agree; two different ones are an error, nulls aside."""
+    clash = F.min(value) != F.max(value)
+    return F.when(clash, F.raise_error(F.lit(f"different values of {what} on one day"))).otherwise(F.max(value))
+
+
 def normalise_prices(prices: DataFrame, commodity: str | None = None) -> DataFrame:
-    """``price_date, commodity, close``: dates parsed, close as 32-bit float, as in the source feed."""
+    """``price_date, commodity, close``: dates parsed, close as 32-bit float, as in the source feed.
+
+    What is no date becomes null. A day has one row per commodity: repeated reports are merged, and
+    reports of one day that differ are an error, since nothing tells which is right.
+    """
     if commodity is not None:
         prices = select_commodity(prices, commodity)
-    return prices.select(
-        F.col("date").cast("date").alias("price_date"),
-        F.lit(commodity).alias("commodity") if commodity is not None else F.col("commodity"),
+    parsed = prices.select(
+        F.try_to_date(F.col("date").cast("string")).alias("price_date"),
+        F.col("commodity"),
         F.col("close").try_cast("float").alias("close"),
     )
+    dated = parsed.filter("price_date IS NOT NULL").groupBy("price_date", "commodity")
+    merged = dated.agg(one_report(F.col("close"), "close").alias("close"))
+    # Rows without a day have nothing to be merged by.
+    return merged.unionByName(parsed.filter("price_date IS NULL"))
 
 
 def union_prices(frames: Mapping[str, DataFrame], symbols: Mapping[str, str]) -> DataFrame:
@@ -73,14 +87,16 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def scan_series(spark: SparkSession, path: str, series: str) -> DataFrame:
+    """A CSV file of one reported series, read by position: the header line is skipped, whatever it says."""
+    raw = spark.read.schema("date STRING, value STRING").option("header", True).option("enforceSchema", True).csv(path)
+    return normalise_macro(raw, series)
+
+
 def normalise_macro(raw: DataFrame, series: str) -> DataFrame:
-    """``date, <series>`` from a two-column file whose header spelling is not reliable."""
-    df = raw.toDF(*[c.strip() for c in raw.columns])
-    date_col = next((c for c in df.columns if c.upper() == "DATE"), df.columns[0])
-    value_col = next(c for c in df.columns if c != date_col)
-    return df.select(
-        F.try_to_date(F.trim(F.col(date_col).cast("string"))).alias("date"),
-        F.trim(F.col(value_col).cast("string")).try_cast("double").alias(series),
+    """``date, <series>`` from text columns ``date, value``; what is no date or number becomes null."""
+    return raw.select(
+        F.try_to_date(F.trim("date")).alias("date"), F.trim("value").try_cast("double").alias(series)
     )
 
 
@@ -101,7 +117,7 @@ def merge_series(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def spread_series(long: DataFrame, series: Sequence[str]) -> DataFrame:
-    """Long ``date, series_id, value`` to one column per series."""
+    """Long ``date, series_id, value`` to one column per series; reports of one day must agree."""
     return long.groupBy("date").agg(
-        *[F.max(F.when(F.col("series_id") == s, F.col("value"))).alias(s) for s in series]
+        *[one_report(F.when(F.col("series_id") == s, F.col("value")), s).alias(s) for s in series]
     )

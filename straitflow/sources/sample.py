@@ -89,27 +89,31 @@ def wide_sample_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``date, treasury_10y, usd_index``: one series on four days a month, one on the first."""
+    """``date, treasury_10y, usd_index``: one series reported on Mondays, the mean of the week that
+    begins there, and one on the first of the month, the mean of the month."""
     day = F.col("l_shipdate").cast("date")
-
-    def mean(c: Column) -> Column:
-        return F.sum(c.cast("decimal(18,2)")).cast("double") / F.count("*")
-
-    return (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.day(day).isin(1, 8, 15, 22))
-        .groupBy(day.alias("date"))
-        .agg(
-            mean(F.col("l_discount") * 100).alias("treasury_10y"),
-            mean(F.col("l_quantity")).alias("_quantity"),
-        )
-        .select(
-            "date",
-            "treasury_10y",
-            F.when(F.day("date") == 1, F.col("_quantity")).alias("usd_index"),
+    reports = table(spark, sf_dir, "lineitem").select(
+        F.inline(
+            F.array(
+                F.struct(
+                    F.date_trunc("week", day).cast("date").alias("date"),
+                    (F.col("l_discount") * 100).cast("decimal(18,2)").alias("weekly"),
+                    F.lit(None).cast("decimal(18,2)").alias("monthly"),
+                ),
+                F.struct(
+                    F.trunc(day, "month").alias("date"),
+                    F.lit(None).cast("decimal(18,2)").alias("weekly"),
+                    F.col("l_quantity").cast("decimal(18,2)").alias("monthly"),
+                ),
+            )
         )
     )
 
+    def mean(c: str) -> Column:
+        return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
+
+    return reports.groupBy("date").agg(mean("weekly").alias("treasury_10y"), mean("monthly").alias("usd_index"))
+
 
 def nation_commodity_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``nation, commodity, value``: orders summed per customer before they meet the customers."""

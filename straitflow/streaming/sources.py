@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,14 +51,23 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
 def run_update(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     """Run over everything available in update mode; returns the last state of every key.
 
-    Each micro-batch writes its changed keys to a directory of its own, so that a
-    repeated batch replaces itself.
+    Each micro-batch writes the state after it to a folder of its own: the rows of the batch before
+    whose keys did not change, and the changed ones. A repeated batch replaces its own folder, and
+    reading the result reads the newest only.
     """
     spark = stream.sparkSession
     out = scratch_path(spark, name)
+    written: list[int] = []
 
     def write_batch(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
+        state = changed
+        earlier = [b for b in written if b < batch_id]
+        if earlier:
+            before = spark.read.schema(stream.schema).parquet(f"{out}/state={earlier[-1]}")
+            same = [before[k].eqNullSafe(changed[k]) for k in keys]
+            state = before.join(changed, same, "left_anti").unionByName(changed)
+        state.write.mode("overwrite").parquet(f"{out}/state={batch_id}")
+        written.append(batch_id)
 
     query = (
         stream.writeStream.outputMode("update")
@@ -68,12 +77,15 @@ def run_update(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
-    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("batch").desc()))
-    return (
-        spark.read.schema(schema)
-        .parquet(f"{out}/data")
-        .withColumn("_newest", newest)
-        .filter(F.col("_newest") == 1)
-        .drop("_newest", "batch")
-    )
+    if not written:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{out}/state={written[-1]}")
+
+
+def deliver(parts: Sequence[DataFrame], path: str) -> None:
+    """Write frames to one folder one after another, a file each, as deliveries arrive.
+
+    A file stream reads by time of arrival; with one file per trigger every part is a batch.
+    """
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)

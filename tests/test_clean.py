@@ -116,13 +116,20 @@ def test_dedup_matches_brute_force_with_a_hot_key(spark):
     assert as_set(dedup_events(df)) == sorted(best.values(), key=repr)
 
 
-@pytest.mark.parametrize("slots", [2, 64, 100, 1 << 27])
-def test_pruned_dedup_equals_dedup_then_filter(spark, slots):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_pruned_dedup_equals_dedup_then_filter(spark, threshold):
     df = spark.createDataFrame(hot_events(), EVENT).repartition(8)
     wanted = F.col("EventRootCode").isin("19") & (F.col("ActionGeo_Lat") > 20)
     expected = as_set(dedup_events(df).filter(wanted))
     assert expected
-    assert as_set(dedup_matching(df, wanted, slots=slots)) == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        pruned = dedup_matching(df, wanted)
+        assert as_set(pruned) == expected
+        joined = "BroadcastHashJoin" if threshold == "10m" else "SortMergeJoin"
+        assert joined in pruned._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_dedup_twice_changes_nothing(spark):

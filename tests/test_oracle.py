@@ -41,4 +41,23 @@ def test_expected_counts_of_the_sample(spark):
     funnel = {r.step: r.row_count for r in queries()["preprocessing_funnel"](spark, d).collect()}
     assert funnel["near a box"] == 4_125
     assert funnel["daily panel"] == 3_544
-    assert funnel["feature rows"] == 851
+    assert funnel["feature rows"] == 853
+
+
+def test_fixed_values_are_the_published_ones():
+    """Boxes, codes and inputs as plain values: the SQL takes them from the same place as the queries."""
+    from straitflow import config
+
+    boxes = {b.name: (b.lat_min, b.lat_max, b.lon_min, b.lon_max) for b in config.CHOKEPOINT_BOXES}
+    assert boxes == {
+        "hormuz": (25.06, 28.06, 54.75, 57.75),
+        "suez": (29.46, 31.46, 31.34, 33.34),
+        "red_sea": (11.0, 17.0, 40.0, 46.0),
+        "black_sea": (41.6, 47.6, 30.5, 36.5),
+        "malacca": (0.5, 4.5, 99.5, 103.5),
+        "panama": (8.58, 9.58, -80.18, -79.18),
+        "taiwan": (23.0, 26.0, 118.0, 121.0),
+        "chile": (-26.5, -20.5, -72.5, -66.5),
+    }
+    assert tuple(config.SUPPLY_CHAIN_ROOTS) == ("14", "17", "18", "19", "20")
+    assert len(config.MODEL_INPUTS) == 15

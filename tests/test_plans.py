@@ -58,13 +58,17 @@ def test_scans_read_only_what_they_need(spark):
     assert "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)" in price
 
 
-def test_large_box_tables_are_not_broadcast(spark):
+@pytest.mark.parametrize("threshold, join", [("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")])
+def test_the_size_of_a_box_table_decides_its_join(spark, threshold, join):
     from straitflow.operators.tagging import tag_by_bins
     from straitflow.sources.sample import sample_events
 
-    tagged = tag_by_bins(sample_events(spark, SF_DIR), broadcast_cells=5)
-    plan = tagged._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "_salt" in plan and "Broadcast" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        plan = tag_by_bins(sample_events(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert join in plan
 
 
 def test_as_of_join_leaves_the_left_side_in_place(spark):

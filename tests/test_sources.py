@@ -59,7 +59,7 @@ def test_repeated_close_headers(spark, tmp_path):
     (tmp_path / "p.csv").write_text(text)
     wide = market.scan_wide_prices(spark, str(tmp_path / "p.csv"))
     assert "close1" in wide.columns
-    rows = market.normalise_prices(market.coalesce_close(wide).withColumn("date", F.try_to_date("date")))
+    rows = market.normalise_prices(market.coalesce_close(wide))
     got = {r.commodity: (r.price_date, r.close) for r in rows.filter("commodity is not null").collect()}
     assert got == {
         "crude_oil": (date(2024, 1, 2), 70.5),
@@ -68,12 +68,10 @@ def test_repeated_close_headers(spark, tmp_path):
     }
 
 
-def test_macro_file_with_dots_and_padded_header(spark):
-    raw = spark.createDataFrame(
-        [("2024-01-02", "4.5"), ("2024-01-03", "."), (" 2024-01-04 ", " 4.25 "), ("n/a", "1")],
-        "` Date ` string, `DGS10 ` string",
-    )
-    got = [tuple(r) for r in market.normalise_macro(raw, "treasury_10y").collect()]
+def test_macro_file_with_dots_and_padded_header(spark, tmp_path):
+    lines = [" Date ,DGS10 ", "2024-01-02,4.5", "2024-01-03,.", " 2024-01-04 , 4.25 ", "n/a,1"]
+    (tmp_path / "m.csv").write_text("\n".join(lines) + "\n")
+    got = [tuple(r) for r in market.scan_series(spark, str(tmp_path / "m.csv"), "treasury_10y").collect()]
     assert got == [
         (date(2024, 1, 2), 4.5),
         (date(2024, 1, 3), None),
@@ -82,6 +80,21 @@ def test_macro_file_with_dots_and_padded_header(spark):
     ]
 
 
+def test_reports_of_one_day_merge_or_fail(spark):
+    rows = [("2024-01-02", 1.5, "a"), ("2024-01-02", 1.5, "a"), ("2024-01-02", None, "a"), ("n/a", 2.0, "a")]
+    df = spark.createDataFrame(rows, "date string, close double, commodity string")
+    assert sorted(map(tuple, market.normalise_prices(df).collect()), key=repr) == [
+        (None, "a", 2.0),
+        (date(2024, 1, 2), "a", 1.5),
+    ] or {tuple(r) for r in market.normalise_prices(df).collect()} == {
+        (None, "a", 2.0),
+        (date(2024, 1, 2), "a", 1.5),
+    }
+    clash = df.unionByName(spark.createDataFrame([("2024-01-02", 9.0, "a")], df.schema))
+    with pytest.raises(Exception, match="different values of close"):
+        market.normalise_prices(clash).collect()
+
+
 def test_union_skips_no_row_and_fills_missing_columns(spark):
     a = spark.createDataFrame([(date(2024, 1, 1), 1.0, 7)], "date date, close double, volume int")
     b = spark.createDataFrame([(date(2024, 1, 1), 2.0)], "date date, close double")
@@ -108,12 +121,44 @@ def store_rows(spark, n, month, start=0):
     )
 
 
-def test_rerun_of_a_month_keeps_the_others(spark, tmp_path):
+def by_month(spark, path):
+    return {(r.year, r.month): r["count"] for r in spark.read.parquet(path).groupBy("year", "month").count().collect()}
+
+
+def test_rerun_of_a_delivery_keeps_other_months_and_deliveries(spark, tmp_path):
     path = str(tmp_path / "store")
     events.write_event_store(store_rows(spark, 100, 1).unionByName(store_rows(spark, 50, 2)), path)
     events.write_event_store(store_rows(spark, 70, 2), path)
-    got = {r.month: r["count"] for r in spark.read.parquet(path).groupBy("month").count().collect()}
-    assert got == {1: 100, 2: 70}
+    assert by_month(spark, path) == {(2024, 1): 100, (2024, 2): 70}
+    events.write_event_store(store_rows(spark, 1, 1), path, delivery="late row")
+    assert by_month(spark, path) == {(2024, 1): 101, (2024, 2): 70}
+    events.write_event_store(store_rows(spark, 5, 3), path, rebuild=True)
+    assert by_month(spark, path) == {(2024, 3): 5}
+
+
+def test_undated_rows_stay_apart(spark, tmp_path):
+    path = str(tmp_path / "store")
+    undated = store_rows(spark, 9, 1).withColumn("SQLDATE", F.lit(None).cast("int"))
+    events.write_event_store(store_rows(spark, 20, 1).unionByName(undated), path, delivery="a")
+    events.write_event_store(store_rows(spark, 30, 2).unionByName(undated.limit(1)), path, delivery="b")
+    assert by_month(spark, path) == {(2024, 1): 20, (2024, 2): 30, (0, 0): 10}
+    assert events.read_event_store(spark, path, start=date(2000, 1, 1)).count() == 50
+
+
+@pytest.mark.parametrize("first", ["batch", "stream"])
+def test_batch_and_incremental_loads_share_a_store(spark, tmp_path, first):
+    store, landing = str(tmp_path / "store"), tmp_path / "landing"
+    landing.mkdir()
+    for day in range(1, 6):
+        text = line({"GLOBALEVENTID": day, "SQLDATE": 20240100 + day}) + "\n"
+        (landing / f"2024010{day}.export.CSV").write_text(text)
+    loads = {
+        "batch": lambda: events.write_event_store(store_rows(spark, 40, 1, 100), store, delivery="x"),
+        "stream": lambda: events.append_new_files(spark, str(landing), store, str(tmp_path / "cp"), files_per_batch=2),
+    }
+    for name in (first, *(set(loads) - {first}), "stream", "batch"):
+        loads[name]()
+    assert by_month(spark, store) == {(2024, 1): 45}
 
 
 def test_store_without_rebalancing_holds_the_same_rows(spark, tmp_path):
@@ -133,7 +178,7 @@ def test_one_hot_month_is_split_over_tasks(spark, tmp_path):
         events.write_event_store(store_rows(spark, 200_000, 1).repartition(8), path)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list((tmp_path / "store" / "year=2024" / "month=1").glob("*.parquet"))) > 1
+    assert len(list((tmp_path / "store" / "year=2024" / "month=1").glob("*/*.parquet"))) > 1
 
 
 def test_date_range_prunes_months(spark, tmp_path):
@@ -175,6 +220,13 @@ def test_catalog_table_and_archive(spark, tmp_path):
     catalog.archive_before(spark, path, archive, date(2024, 3, 1))
     assert spark.read.parquet(archive).count() == 50
     assert spark.read.parquet(path).count() == 60
+    with pytest.raises(ValueError, match="first"):
+        catalog.archive_before(spark, path, archive, date(2024, 3, 2))
+    assert catalog.retire_before(spark, path, archive, date(2024, 3, 1)) == [(2024, 1), (2024, 2)]
+    assert spark.read.parquet(archive).count() == 50
+    assert by_month(spark, path) == {(2024, 3): 10}
+    assert catalog.retire_before(spark, path, archive, date(2024, 3, 1)) == []
+    assert spark.read.parquet(archive).count() == 50
 
 
 def test_scratch_is_the_configured_shared_folder(spark):
@@ -205,12 +257,23 @@ def test_jobs_from_files_to_features(spark, tmp_path):
         str(tmp_path / "features"),
     )
     assert len(table.columns) == 23
-    model, scores, importance = jobs.train(
+    model, scores, importance, matrix = jobs.train(
         spark, table, str(tmp_path / "model"), start=None, trees=(3,), depths=(2,)
     )
     assert importance.count() == 15
     assert {r.split for r in scores.collect()} <= {"validation", "test"}
     assert (tmp_path / "model").exists()
+    held_out = sum(r.row_count for r in scores.collect())
+    assert sum(r.row_count for r in matrix.collect()) == held_out
+    files = [str(tmp_path / x) for x in ("store", "prices.csv", "macro")]
+    later = jobs.build_features(spark, *files, str(tmp_path / "later"), start=date(1998, 2, 10))
+    assert sorted(map(tuple, later.collect())) == sorted(
+        map(tuple, table.filter("event_date >= date '1998-02-10'").collect())
+    )
+    for months in ((None, date(1998, 3, 31)), (date(1998, 4, 1), None)):
+        panel = jobs.build_panel(spark, files[0], str(tmp_path / "panel"), FeatureSettings(), *months)
+    from_panel = jobs.build_features(spark, *files, str(tmp_path / "from_panel"), panel=panel)
+    assert sorted(map(tuple, from_panel.collect())) == sorted(map(tuple, table.collect()))
     early = jobs.build_features(
         spark,
         str(tmp_path / "store"),

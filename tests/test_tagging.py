@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from straitflow.config import CHOKEPOINT_BOXES, Box
 from straitflow.operators.tagging import (
     boxes_frame,
-    count_cells,
     keep_any_box,
     tag_by_bins,
     tag_by_expression,
@@ -52,10 +51,7 @@ WAYS = {
     "expression": tag_by_expression,
     "range": tag_by_range,
     "grid": tag_by_grid,
-    "salted grid": lambda e, b: tag_by_bins(e, b, broadcast_cells=0, salts=4),
-    "salted range": lambda e, b: tag_by_bins(e, b, lon_step=None, broadcast_cells=0, salts=4),
     "box table": lambda e, b: tag_by_grid(e, boxes_frame(e.sparkSession, b)),
-    "large box table": lambda e, b: tag_by_bins(e, boxes_frame(e.sparkSession, b), broadcast_cells=5),
     "fine grid": lambda e, b: tag_by_bins(e, b, 0.7, 0.3),
 }
 
@@ -84,10 +80,3 @@ def test_flags_and_any_box(spark):
     assert flagged[1].near_hormuz and not flagged[1].near_suez
     assert flagged[2].near_hormuz is False
     assert [r.id for r in keep_any_box(df).collect()] == [1]
-
-
-def test_cell_count_is_what_the_join_makes(spark):
-    table = boxes_frame(spark).selectExpr(
-        "sum((floor(lat_max/2)-floor(lat_min/2)+1)*(floor(lon_max/2)-floor(lon_min/2)+1)) as n"
-    )
-    assert table.first().n == count_cells(CHOKEPOINT_BOXES, 2.0, 2.0)

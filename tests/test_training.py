@@ -42,9 +42,22 @@ def test_empty_features_split_to_nothing(spark):
     assert empty.count() == 0 and "split" in empty.columns
 
 
-def test_few_rows_are_fitted_without_folds(spark):
-    model = training.train_best(spark.createDataFrame(rows(9), SCHEMA))
+def test_folds_are_asked_for_and_need_rows(spark):
+    model = training.train_best(spark.createDataFrame(rows(9), SCHEMA), search=False)
     assert model.stages[-1].getNumTrees == 100
+    with pytest.raises(ValueError, match="folds"):
+        training.train_best(spark.createDataFrame(rows(2), SCHEMA))
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 9])
+def test_a_forest_repeats_for_any_number_of_partitions(spark, partitions):
+    df = spark.createDataFrame(rows(60), SCHEMA)
+    fits = [
+        training.fit_forest(d, num_trees=5, max_depth=3, partitions=partitions).stages[-1].toDebugString
+        for d in (df.repartition(7), df.orderBy(F.col("event_date").desc()))
+    ]
+    strip = [f.split("\n", 1)[1] for f in fits]
+    assert strip[0] == strip[1]
 
 
 def test_rows_with_missing_inputs_are_skipped(spark):
