@@ -31,6 +31,7 @@ LEAST_CHARS = 20
 
 #: Seven bands of three: 99.3 % of pairs at a similarity of 0.8 share a bucket, 99.99 % at 0.9.
 BANDS, ROWS = 7, 3
+LANES = [f"m{j}" for j in range(BANDS * ROWS)]
 SIMILARITY = 0.8
 
 #: Words longer than this on average make a line's shingles start at every character.
@@ -55,44 +56,42 @@ def lines_of(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     )
 
 
-def bands(lines: DataFrame, seed: int = 17) -> DataFrame:
-    """id and key: the bucket keys of every distinct line."""
+def signatures(lines: DataFrame, seed: int = 17) -> DataFrame:
+    """id and the lanes of the MinHash signature of every distinct line."""
     draw = random.Random(seed)
-    words = F.split("line", " ")
-    all_of_it = F.transform(
-        F.sequence(F.lit(1), F.char_length("line") - (SHINGLE - 1)), lambda i: F.substring("line", i, F.lit(SHINGLE))
-    )
-    at_words = F.transform(
-        F.sequence(F.lit(0), F.size("words") - 1),
-        lambda i: F.substring(
-            F.concat_ws(" ", F.get("words", i), F.get("words", i + 1), F.get("words", i + 2), F.get("words", i + 3)),
-            1,
-            SHINGLE,
-        ),
-    )
+    # A row per shingle before anything is hashed: the rows never leave the stage that makes them.
     long_words = F.char_length("line") > LONG_WORD * F.size("words")
+    last = F.when(long_words, F.char_length("line") - SHINGLE).otherwise(F.size("words") - 1)
+    next_words = [F.get("words", F.col("i") + k) for k in range(4)]
+    shingle = F.when(F.col("long"), F.substring("line", F.col("i") + 1, F.lit(SHINGLE))).otherwise(
+        F.substring(F.concat_ws(" ", *next_words), 1, SHINGLE)
+    )
     shingles = (
-        lines.select("id", "line", words.alias("words"))
-        .select("id", F.explode(F.when(long_words, all_of_it).otherwise(at_words)).alias("s"))
-        .select("id", F.hash("s").alias("x"))
+        lines.select("id", "line", F.split("line", " ").alias("words"))
+        .select("id", "line", "words", long_words.alias("long"), F.explode(F.sequence(F.lit(0), last)).alias("i"))
+        .select("id", F.hash(shingle).alias("x"))
     )
     # The smallest hash under exclusive or with a constant is another random shingle for each constant.
-    lanes = [f"m{j}" for j in range(BANDS * ROWS)]
-    signatures = shingles.groupBy("id").agg(
-        *[F.min(F.col("x").bitwiseXOR(F.lit(draw.randrange(-(2**31), 2**31)))).alias(m) for m in lanes]
+    return shingles.groupBy("id").agg(
+        *[F.min(F.col("x").bitwiseXOR(F.lit(draw.randrange(-(2**31), 2**31)))).alias(m) for m in LANES]
     )
-    keys = [F.xxhash64(F.lit(b), *lanes[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)]
-    return signatures.select("id", F.explode(F.array(*keys)).alias("key"))
+
+
+def bands(signed: DataFrame) -> DataFrame:
+    """id and key: the bucket keys of every signature."""
+    keys = [F.xxhash64(F.lit(b), *LANES[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)]
+    return signed.select("id", F.explode(F.array(*keys)).alias("key"))
 
 
 def grams(line: str, n: int = SHINGLE) -> Column:
     """The distinct shingles of a line, as 64-bit hashes; one code point is four bytes of `UTF-32`."""
-    return F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(0), F.char_length(line) - n),
-            lambda i: F.xxhash64(F.substring(F.encode(line, "UTF-32"), 4 * i + 1, F.lit(4 * n))),
-        )
-    )
+
+    def of(code: Column) -> Column:
+        starts = F.sequence(F.lit(0), (F.length(code) / 4).cast("int") - n)
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(code, 4 * i + 1, F.lit(4 * n)))))
+
+    # As the element of an array the code is computed once; inside the lambda it would be for every shingle.
+    return F.get(F.transform(F.array(F.encode(line, "UTF-32")), of), F.lit(0))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -113,17 +112,16 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 def links(docs: DataFrame, similarity: float = SIMILARITY, least_chars: int = LEAST_CHARS) -> DataFrame:
     """a and b, ids of distinct lines that are near duplicates, enough of them to connect every component."""
     lines = lines_of(docs, least_chars)
-    keyed = bands(lines)
+    keyed = bands(signatures(lines))
     buckets = (
         keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
     )
     members = staged(keyed.join(buckets.select("key", "first"), "key").where("id <> first"))
     needed = members.select("id").unionAll(members.select(F.col("first").alias("id"))).distinct()
-    likely = marked_by(lines.select("id", "line"), "id", needed).where("marked").select("id", "line")
-    texts = staged(likely.groupBy("id").agg(F.min("line").alias("line")).join(needed, "id", "left_semi"))
-    near_first = staged(
-        verified(members.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), texts, similarity)
-    )
+    candidates = marked_by(lines.select("id", "line"), "id", needed).where("marked").select("id", "line")
+    texts = staged(candidates.groupBy("id").agg(F.min("line").alias("line")).join(needed, "id", "left_semi"))
+    with_first = members.select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    near_first = staged(verified(with_first, texts, similarity))
     unlike = members.join(
         near_first.select(F.col("a").alias("id"), F.col("b").alias("first")), ["id", "first"], "left_anti"
     ).select("key", F.col("id").alias("a"))
