@@ -104,3 +104,43 @@ def op9_html_paths(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op8_line_minhash(spark: SparkSession, d: str) -> DataFrame:
     return line_minhash.dedup_lines(_table(spark, d, "documents")).drop("carried")
+
+
+ORACLE["op5_rule_cascade"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+    SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+           list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM d
+), grams AS (
+    SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+    FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+), repeated AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1
+), covered AS (
+    SELECT r, count(DISTINCT i + k) AS n FROM repeated, (VALUES (0), (1), (2)) AS t(k) GROUP BY 1
+), counted AS (
+    SELECT w.r, doc_id, text, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+           CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+           CAST(len(lines) AS BIGINT) AS n_lines,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           coalesce(n, 0) AS n_repeat_words,
+           len(regexp_extract_all(text, '\p{L}')) AS letters, len(regexp_extract_all(text, '\p{Lu}')) AS capitals,
+           len(regexp_extract_all(text, '[!?]{2,}')) AS shouts
+    FROM w LEFT JOIN covered c ON w.r = c.r
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed
+       AND CAST(word_chars AS DOUBLE) / greatest(n_words, 1) BETWEEN 2 AND 15
+       AND n_symbols * 5 <= n_words
+       AND NOT (n_dup_lines >= 3 AND n_dup_lines * 10 > n_lines * 3)
+       AND n_repeat_words * 10 <= n_words * 3
+       AND capitals * 2 <= letters
+       AND letters * 2 >= word_chars
+       AND shouts * 10 <= n_words AS kept
+FROM judged
+"""
