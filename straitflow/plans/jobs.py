@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 from straitflow.config import FeatureSettings
 from straitflow.functions.geo import box_names
-from straitflow.operators.clean import dedup_events
 from straitflow.operators.features import (
-    analysis_rows,
     complete_rows,
     event_panel,
     keep_from,
@@ -133,10 +131,15 @@ def train(
 
 
 def preprocessing_funnel(
-    events: DataFrame, features: DataFrame, settings: FeatureSettings = FeatureSettings()
+    events: DataFrame,
+    unique: DataFrame,
+    features: DataFrame,
+    settings: FeatureSettings = FeatureSettings(),
 ) -> DataFrame:
     """Rows left after each step: ``position, step, row_count``.
 
+    ``unique`` is ``dedup_events(analysis_rows(events))``: pass a stored frame and build the
+    features from it too, so that events are de-duplicated once.
     Exact aggregates in one plan. Counters that ride along with a write are cheaper but
     may count a repeated task twice, so they only serve for progress.
     """
@@ -144,8 +147,7 @@ def preprocessing_funnel(
     event = F.coalesce(F.col("_at"), F.lit(0)) == 0
     coded = F.col("EventRootCode").isin(*settings.roots)
     daily = (
-        dedup_events(analysis_rows(events))
-        .select(
+        unique.select(
             "event_date",
             "EventRootCode",
             F.posexplode_outer(box_names(settings.boxes)).alias("_at", "chokepoint"),

@@ -227,7 +227,15 @@ def sink_features_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def preprocessing_funnel(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.preprocessing_funnel(sample.sample_events(spark, d), _features(spark, d), SETTINGS)
+    raw = sample.sample_events(spark, d)
+    unique = staged(clean.dedup_events(features.analysis_rows(raw)), "unique")
+    tagged = tagging.tag_by_expression(clean.keep_roots(unique), SETTINGS.scoped_boxes())
+    table = features.complete_rows(
+        features.panel_features(
+            panel.daily_panel(tagged), sample.sample_prices(spark, d), sample.sample_macro(spark, d), SETTINGS
+        )
+    )
+    return jobs.preprocessing_funnel(raw, unique, table, SETTINGS)
 
 
 @query
