@@ -33,6 +33,9 @@ def dedup_events(
 ) -> DataFrame:
     """One row per key, nulls being equal: the first by ``order``.
 
+    The default order tells any two different rows of the analysis columns apart; for wider rows,
+    give an order over their columns too, or the survivor of a tie is not fixed.
+
     The rank filter is pushed into the sort on both sides of the shuffle, so a key
     that holds a third of all rows sends one row per map task.
     """

@@ -104,7 +104,7 @@ def merge_series(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Full outer merge on ``date`` of any number of series with a single shuffle.
 
     Each frame is ``date, <series>``. The rows are stacked in long form and one
-    grouping by date spreads them again.
+    grouping by date spreads them again; the result is in the order of dates.
     """
     long = reduce(
         DataFrame.unionByName,
@@ -113,7 +113,7 @@ def merge_series(frames: Mapping[str, DataFrame]) -> DataFrame:
             for name, df in frames.items()
         ),
     )
-    return spread_series(long, list(frames))
+    return spread_series(long, list(frames)).orderBy("date")
 
 
 def spread_series(long: DataFrame, series: Sequence[str]) -> DataFrame:

@@ -13,12 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from straitflow.config import CHOKEPOINT_BOXES
 from straitflow.functions.dates import int_from_date
 from straitflow.sources.schemas import EVENT_SCHEMA
 
-# Box centres in hundredths of a degree, by l_partkey % 12.
-LAT_CENTRES = (2656, 3046, 1400, 4460, 250, 908, 2450, -2350, 6000, 6000, 6000, 6000)
-LON_CENTRES = (5625, 3234, 4300, 3350, 10150, -7968, 11950, -6950, 1000, 1000, 1000, 1000)
+# Centres in hundredths of a degree, by l_partkey % 12: of the boxes, then of a place in none of them.
+_CENTRES = [
+    (round(50 * (b.lat_min + b.lat_max)), round(50 * (b.lon_min + b.lon_max))) for b in CHOKEPOINT_BOXES
+] + [(6000, 1000)] * (12 - len(CHOKEPOINT_BOXES))
+LAT_CENTRES, LON_CENTRES = zip(*_CENTRES)
 
 # Plays crude oil.
 SAMPLE_COMMODITY = "1-URGENT"
