@@ -37,7 +37,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
 
     Each round points every node and its neighbours to the smallest of them, first from the side of the larger
     nodes and then from the smaller ones, which halves the depth of the trees; it ends when all trees are
-    stars. A hub's edges are reduced by min() ahead of the shuffle, and never meet in one group.
+    stars. Minima are taken ahead of the shuffle; in the joins the edges of a hub stream past one row, and
+    are never gathered.
     """
     pairs = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where(
         F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v"))
