@@ -7,9 +7,9 @@ Links go through distributed union-find, and each component keeps its first line
 * Equal lines are one row from the first aggregation on, so copies cost a row per task, not a row each.
 * Signatures take the shingles that start where a word starts (a copy has the same ones); lines whose words are
   long, as in scripts without spaces, take all of them. Verification always takes all.
-* A bucket's lines meet a fixed number of its lines, drawn anew for every bucket, not each other, so a bucket costs
-  its size and not its square. Similar lines share several buckets, 3.6 of 7 on average at a similarity
-  of 0.8, and in each the drawn lines connect them.
+* A bucket's lines meet its most central lines, those with most neighbours over all buckets, not each other, so
+  a bucket costs its size and not its square. A line with many variants is central to their buckets, and links
+  them; similar lines share several buckets, 3.6 of 7 on average at a similarity of 0.8.
 * Texts are shuffled only for lines that are candidates and documents that lose a line; which these may be is
   told by a bit table of bounded size.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from straitflow.llm.shared import attached, components, keyed, marked_by, staged
@@ -35,8 +35,8 @@ BANDS, ROWS = 7, 3
 LANES = [f"m{j}" for j in range(BANDS * ROWS)]
 SIMILARITY = 0.8
 
-#: Lines of a bucket that its other lines meet.
-LEADERS = 5
+#: Central lines of a bucket that its other lines meet.
+LEADERS = 8
 
 #: Words longer than this on average make a line's shingles start at every character.
 LONG_WORD = 20
@@ -117,16 +117,22 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, least_chars: int = LE
     """a and b, ids of distinct lines that are near duplicates, enough of them to connect every component."""
     lines = lines_of(docs, least_chars)
     keyed = bands(signatures(lines))
-    # Ids are hashes, so the smallest under exclusive or with a constant is a random member, the same in any run.
-    draw = random.Random(LEADERS)
-    masks = [draw.randrange(2**63) for _ in range(LEADERS - 2)]
-    picks = [F.min(F.col("id").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)).alias(f"l{k}") for k, m in enumerate(masks)]
     buckets = (
-        keyed.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most"), *picks).where("least <> most")
+        keyed.groupBy("key")
+        .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n"))
+        .where("least <> most")
     )
-    leaders = F.array("least", "most", *[f"l{k}" for k in range(len(masks))])
-    met = keyed.join(buckets, "key").select("id", F.explode(F.array_distinct(leaders)).alias("leader"))
-    met = met.where("id <> leader")
+    members = staged(keyed.join(buckets.select("key", "n"), "key"))
+    # The line that others were made from shares more and larger buckets with them than they do among themselves.
+    degrees = members.groupBy("id").agg(F.sum("n").alias("degree"))
+    central = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
+    leaders = (
+        members.join(degrees, "id")
+        .withColumn("place", F.row_number().over(central))
+        .where(F.col("place") <= LEADERS)
+        .select("key", F.col("id").alias("leader"))
+    )
+    met = members.join(leaders, "key").where("id <> leader")
     pairs = staged(met.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     likely = marked_by(lines.select("id", "line"), "id", needed).where("marked").select("id", "line")

@@ -225,15 +225,23 @@ def test_line_dedup(spark):
     assert line_minhash.dedup_lines(df.limit(0)).count() == 0
 
 
-def test_lines_unlike_the_first_of_their_bucket_are_linked(spark):
-    """A bucket's first line may be unlike two others that are alike."""
-    texts = spark.createDataFrame(
-        [(1, "q" * 30), (2, "abcdefghij klmnopqrst uvwxyz"), (3, "abcdefghij klmnopqrst uvwxyz1")], "id long, line string"
-    )
-    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+def test_candidates_are_verified_exactly(spark):
+    rows = [(1, "q" * 30), (2, "abcdefghij klmnopqrst uvwxyz"), (3, "abcdefghij klmnopqrst uvwxyz1"), (4, "abcdefghij klm opqrst uvwxyz")]
+    texts = spark.createDataFrame(rows, "id long, line string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (2, 4), (3, 4)], "a long, b long")
     assert [tuple(r) for r in line_minhash.verified(pairs, texts, 0.8).collect()] == [(2, 3)]
 
 
+def test_a_large_bucket_costs_its_size(spark):
+    """Templated lines share their buckets: one component, from few pairs a line."""
+    line = "the quick brown fox jumps over the lazy dog and runs away from number %d while the other animals watch it go"
+    docs = spark.createDataFrame([(k, line % (1000 + k)) for k in range(1500)], "doc_id long, text string")
+    edges = line_minhash.links(docs)
+    assert edges.count() <= 1500 * line_minhash.LEADERS * line_minhash.BANDS
+    left = line_minhash.dedup_lines(docs).where("n_removed = 0").count()
+    assert left == 1
+
+
 @needs_tables
 def test_line_dedup_of_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
