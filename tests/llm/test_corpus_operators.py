@@ -242,6 +242,25 @@ def test_a_large_bucket_costs_its_size(spark):
     assert left == 1
 
 
+def test_pairs_inside_large_families_are_found(spark):
+    """Two templates, each with many unlike lines and few alike pairs that only share what is not the template."""
+    rng = random.Random(21)
+    token = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    lines = []
+    for head in (" ".join(token(7) for _ in range(9)), " ".join(token(7) for _ in range(9))):
+        for _ in range(120):
+            shared = token(9)
+            lines += [f"{shared} {head} {token(3)}" for _ in range(2)]
+            lines.append(f"{token(9)} {head} {token(3)}")
+    rng.shuffle(lines)
+    rows = list(enumerate(lines))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.text) for r in line_minhash.dedup_lines(docs).collect())
+    expected = brute_lines(rows)
+    assert 200 <= sum(n for (_, text), n in expected.items() if text == "") <= 280
+    assert sum((got - expected).values()) <= 0.01 * len(rows)
+
+
 @needs_tables
 def test_line_dedup_of_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
