@@ -5,8 +5,8 @@ of it are bucket keys, and every candidate pair is verified by the exact Jaccard
 Links go through distributed union-find, and each component keeps its first line.
 
 * Equal lines are one row from the first aggregation on, so copies cost a row per task, not a row each.
-* Signatures take the shingles that start where a word starts (a copy has the same ones); lines whose words are
-  long, as in scripts without spaces, take all of them. Verification always takes all.
+* Signatures take all shingles of a line, as verification does, under independent hashes. A second signature over
+  the shingles that start where a word starts gives further keys, so a pair has two ways to share a bucket.
 * A bucket's lines first meet its most central lines, those with most neighbours over all buckets. A line with
   many variants is central to their buckets, and links them. Then all pairs of the bucket that are not linked yet
   meet by sketches, which tell unlike lines apart without a miss; so every pair of a bucket is judged exactly.
@@ -30,7 +30,7 @@ from straitflow.llm.shared import attached, components, keyed, marked_by, staged
 SHINGLE = 8
 LEAST_CHARS = 20
 
-#: Seven bands of three: 99.3 % of pairs at a similarity of 0.8 share a bucket, 99.99 % at 0.9.
+#: Seven bands of three: 99.3 % of pairs at a similarity of 0.8 share a bucket of all shingles, 99.99 % at 0.9.
 BANDS, ROWS = 7, 3
 LANES = [f"m{j}" for j in range(BANDS * ROWS)]
 SIMILARITY = 0.8
@@ -67,6 +67,23 @@ def lines_of(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
 def signatures(lines: DataFrame, seed: int = 17) -> DataFrame:
     """id and the lanes of the MinHash signature of every distinct line."""
     draw = random.Random(seed)
+    # One code point is four bytes of `UTF-32`, so a shingle is cut out without a walk along the line.
+    last = F.greatest((F.length("code") / 4).cast("int") - SHINGLE, F.lit(0))
+    # A row per shingle before anything is hashed: the rows never leave the stage that makes them.
+    shingles = (
+        lines.select("id", F.encode("line", "UTF-32").alias("code"))
+        .select("id", "code", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+        .select("id", F.xxhash64(F.substring("code", 4 * F.col("i") + 1, F.lit(4 * SHINGLE))).alias("x"))
+    )
+    # Hashed again after the exclusive or: the smallest hash is an independent random shingle for each constant.
+    return shingles.groupBy("id").agg(
+        *[F.min(F.hash(F.col("x").bitwiseXOR(F.lit(draw.randrange(-(2**63), 2**63))))).alias(m) for m in LANES]
+    )
+
+
+def word_signatures(lines: DataFrame, seed: int = 17) -> DataFrame:
+    """The same over the shingles at word starts only, or all where words are long: further keys beside those of all."""
+    draw = random.Random(seed)
     # A row per shingle before anything is hashed: the rows never leave the stage that makes them.
     long_words = F.char_length("line") > LONG_WORD * F.size("words")
     last = F.when(long_words, F.char_length("line") - SHINGLE).otherwise(F.size("words") - 1)
@@ -85,9 +102,9 @@ def signatures(lines: DataFrame, seed: int = 17) -> DataFrame:
     )
 
 
-def bands(signed: DataFrame) -> DataFrame:
+def bands(signed: DataFrame, first: int = 0) -> DataFrame:
     """id and key: the bucket keys of every signature."""
-    keys = [F.xxhash64(F.lit(b), *LANES[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)]
+    keys = [F.xxhash64(F.lit(first + b), *LANES[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)]
     return signed.select("id", F.explode(F.array(*keys)).alias("key"))
 
 
@@ -120,7 +137,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 def links(docs: DataFrame, similarity: float = SIMILARITY, least_chars: int = LEAST_CHARS) -> DataFrame:
     """a and b, ids of distinct lines that are near duplicates, enough of them to connect every component."""
     lines = lines_of(docs, least_chars)
-    keyed = bands(signatures(lines))
+    keyed = bands(signatures(lines)).unionAll(bands(word_signatures(lines), BANDS))
     buckets = (
         keyed.groupBy("key")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n"))

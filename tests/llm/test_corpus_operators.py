@@ -242,6 +242,35 @@ def test_a_large_bucket_costs_its_size(spark):
     assert left == 1
 
 
+@pytest.mark.parametrize("kind", ["short", "log", "url"])
+def test_banding_finds_alike_lines_of_any_shape(spark, kind):
+    """The share of pairs with a common bucket is what banding promises for the similarity over all shingles."""
+    rng = random.Random(kind)
+    token = lambda lo, hi: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(lo, hi)))
+    pairs = []
+    while len(pairs) < 400:
+        if kind == "short":
+            words = [token(4, 9) for _ in range(rng.randint(5, 9))]
+            pair = " ".join(words), " ".join([*words[:-1], token(2, 5)])
+        elif kind == "log":
+            tail = " ".join(token(4, 9) for _ in range(rng.randint(5, 8)))
+            pair = f"{rng.randrange(100)} {tail}", f"{rng.randrange(100)} {tail}"
+        else:
+            tail = "/".join(token(9, 9) for _ in range(7))
+            pair = tuple(" ".join([*(str(rng.randrange(10)) for _ in range(5)), tail]) for _ in range(2))
+        x, y = ({line[i : i + 8] for i in range(len(line) - 7)} for line in pair)
+        if pair[0] != pair[1] and len(x & y) >= 0.8 * len(x | y):
+            pairs.append((*pair, len(x & y) / len(x | y)))
+    flat = [(2 * k + side, p[side]) for k, p in enumerate(pairs) for side in (0, 1)]
+    keys = defaultdict(set)
+    signed = line_minhash.signatures(spark.createDataFrame(flat, "id long, line string"))
+    for r in line_minhash.bands(signed).collect():
+        keys[r.id].add(r.key)
+    found = sum(bool(keys[2 * k] & keys[2 * k + 1]) for k in range(len(pairs)))
+    promised = sum(1 - (1 - s**line_minhash.ROWS) ** line_minhash.BANDS for *_, s in pairs)
+    assert found >= promised - 4
+
+
 def test_pairs_inside_large_families_are_found(spark):
     """Two templates, each with many unlike lines and few alike pairs that only share what is not the template."""
     rng = random.Random(21)
