@@ -163,7 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, ftrl: Ftrl | None = None, max_rows
             w = learn([r[2:] for r in rows], ftrl).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary())], ["weights"])
 
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("place", "quality", "text")
+    # Of rows that repeat an id the text with the lowest hash counts, so the bound on rows holds.
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    sample = found.groupBy("doc_id", "place", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = sample.select("place", "quality", "text")
     ready = sample.mapInArrow(featurise, "place long, quality int, at array<int>, x array<float>")
     # At most `max_rows` rows, whatever the corpus: the updates follow one another, so one task makes them.
     model = ready.repartition(1).mapInArrow(fit, "weights binary").first()

@@ -260,6 +260,15 @@ def test_classifier_on_held_out_rows(spark):
     assert auc > 0.98 and np.mean([(s >= 0.7) == y for y, s in held]) > 0.95
 
 
+def test_training_takes_one_row_of_each_id(spark):
+    ship(spark)
+    rows = [(k, f"word{k} of a text") for k in range(40)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = spark.createDataFrame(rows + rows[:20] * 30, "doc_id long, text string")
+    assert quality_ftrl.train(often, labels) == quality_ftrl.train(once, labels)
+
+
 def test_classifier_edge_cases(spark, messy, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality_ftrl.train(messy, labels) is None
