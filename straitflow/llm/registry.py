@@ -16,6 +16,7 @@ from straitflow.llm import (
     quality_ftrl,
     secrets,
     simhash_trie,
+    suffix_leaks,
     token_counts,
     topk_segments,
 )
@@ -106,6 +107,45 @@ def op8_line_minhash(spark: SparkSession, d: str) -> DataFrame:
     return line_minhash.dedup_lines(_table(spark, d, "documents")).drop("carried")
 
 
+@query
+def op13_suffix_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_leaks.report(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+ORACLE["op13_suffix_leaks"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), i AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), sized AS (
+    SELECT item_id, words, least(len(words), 10) AS size FROM i WHERE len(words) > 0
+), windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[p:p + size - 1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS p FROM sized)
+), grams AS (
+    SELECT r, p, size, array_to_string(words[p:p + size - 1], ' ') AS g
+    FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS p
+          FROM d, (SELECT DISTINCT size FROM sized))
+), hits AS (
+    SELECT DISTINCT r, p, g.size, item_id FROM grams g JOIN windows w ON g.g = w.g AND g.size = w.size
+), hit AS (
+    SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS q FROM hits) GROUP BY r
+), listed AS (
+    SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT r, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit ON d.r = hit.r LEFT JOIN listed ON d.r = listed.r
+"""
+
+
 ORACLE["op5_rule_cascade"] = r"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
