@@ -12,6 +12,7 @@ from straitflow.llm import (
     html_paths,
     line_minhash,
     packing,
+    periodic_runs,
     quality_cascade,
     quality_ftrl,
     secrets,
@@ -146,6 +147,56 @@ FROM d LEFT JOIN hit ON d.r = hit.r LEFT JOIN listed ON d.r = listed.r
 """
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    return periodic_runs.planted_report(_table(spark, d, "documents"))
+
+
+#: The unsigned crc32 of a list of bytes, `bytes`, with the table `crc` of the CTE below.
+_CRC_TABLE = """crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+               lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS t
+)"""
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {bytes}),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+_ID_BYTES = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+
+ORACLE["op11_periodic_runs"] = rf"""
+WITH {_CRC_TABLE}, d AS (
+    SELECT row_number() OVER () AS r, doc_id, {_CRC.format(bytes=_ID_BYTES)} AS h,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents, crc
+), told AS (
+    SELECT *, len(w) AS n, coalesce(h % 10 = 0 AND len(w) > 0, false) AS planted,
+           CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d
+), words AS (
+    SELECT r, i, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) ELSE i END] AS x, n
+    FROM (SELECT *, unnest(range(n)) AS i FROM told)
+), same AS (
+    SELECT a.r, a.i, b.i - a.i AS q
+    FROM words a JOIN words b ON a.r = b.r AND a.x = b.x AND b.i > a.i AND 4 * (b.i - a.i) <= a.n
+), stretches AS (
+    SELECT r, q, min(i) AS s, count(*) + q AS l
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same)
+    GROUP BY r, q, island
+), runs AS (
+    SELECT r, s, l, min(q) AS q FROM stretches WHERE l >= greatest(6, 4 * q) GROUP BY r, s, l
+), best AS (
+    SELECT r, s, l, q FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY CAST(l AS DOUBLE) / q DESC, s, q) = 1
+), listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS runs FROM runs GROUP BY r
+), dropped AS (
+    SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs
+), kept AS (
+    SELECT r, string_agg(x, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (r, i) GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period,
+       CAST(1000 * l // q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM told LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 ORACLE["op5_rule_cascade"] = r"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
