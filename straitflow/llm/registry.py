@@ -17,6 +17,7 @@ from straitflow.llm import (
     quality_ftrl,
     secrets,
     simhash_trie,
+    spelling_trie,
     suffix_leaks,
     token_counts,
     topk_segments,
@@ -197,6 +198,49 @@ FROM told LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USI
 """
 
 
+@query
+def op12_spelling_trie(spark: SparkSession, d: str) -> DataFrame:
+    return spelling_trie.group(spelling_trie.count_words(_table(spark, d, "documents"), planted=True))
+
+
+_RUN_BYTES = """list_transform(list_filter(string_split(hex(encode(doc_id || ':' || x)), ''), lambda c, i: i % 2 = 1),
+        lambda c, i: CAST(('0x' || substr(hex(encode(doc_id || ':' || x)), 2 * i - 1, 2)) AS BIGINT))"""
+
+ORACLE["op12_spelling_trie"] = rf"""
+WITH RECURSIVE {_CRC_TABLE}, found AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-z\x{{C0}}-\x{{FF}}]+')) AS x FROM documents
+), told AS (
+    SELECT x, length(x) AS l, n, {_CRC.format(bytes=_RUN_BYTES)} AS h
+    FROM (SELECT doc_id, x, count(*) AS n FROM found GROUP BY ALL), crc
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(x, 1, h % l) || substr(x, h % l + 2) ELSE x END AS word, n FROM told)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+    SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+), pairs AS (
+    SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+    UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word
+), best AS (
+    SELECT p.word, count(*) AS n_near, max(n) AS m, arg_min(near, (-n, near)) AS near
+    FROM pairs p JOIN words w ON p.near = w.word GROUP BY p.word
+), forms AS (
+    SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN near END AS form,
+           CASE WHEN m >= 2 * n THEN m END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word
+), chain AS (
+    SELECT word, word AS root FROM words
+    UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+), ends AS (
+    SELECT c.word, c.root FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NULL
+)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN ends e ON f.word = e.word
+"""
+
+
 ORACLE["op5_rule_cascade"] = r"""
 WITH d AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
