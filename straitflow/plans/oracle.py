@@ -124,6 +124,10 @@ _CTES = {
         SELECT *, {_frames(7, 'w7')}, {_frames(30, 'w30')} FROM panel
         WINDOW w7 AS (PARTITION BY chokepoint ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
                w30 AS (PARTITION BY chokepoint ORDER BY event_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
+    "rolled_live": f"""
+        SELECT *, {_frames(7, 'w7')}, {_frames(30, 'w30')} FROM panel_live
+        WINDOW w7 AS (PARTITION BY chokepoint ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+               w30 AS (PARTITION BY chokepoint ORDER BY event_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
     "prices": "SELECT date AS price_date, commodity, CAST(close AS FLOAT) AS close FROM price",
     "lagged": """
         SELECT *, lag(close, 1) OVER w AS close_lag1, lag(close, 5) OVER w AS close_lag5,
@@ -380,6 +384,15 @@ _BODIES = {
         WHERE {_CLOSED_CLICKS} AND (event_id % 10 <> 0 OR event_date + 1 >
               (SELECT max(ts) FROM events WHERE event_id % 10 > 1) - INTERVAL 1 DAY)
         GROUP BY 1, 2""",
+    "stream_rolling_rows": f"SELECT event_date, chokepoint, {_ROUND_METRICS}, {_round([*_rolled(7), *_rolled(30)])} FROM rolled_live",
+    "stream_asof_join": """
+        SELECT date, commodity, series_id, value FROM (
+            SELECT p.price_date AS date, p.commodity, 'treasury_10y' AS series_id, round(m.treasury_10y, 6) AS value
+            FROM prices p ASOF LEFT JOIN (SELECT * FROM macro WHERE treasury_10y IS NOT NULL) m ON p.price_date >= m.date
+            UNION ALL
+            SELECT p.price_date, p.commodity, 'usd_index', round(m.usd_index, 6)
+            FROM prices p ASOF LEFT JOIN (SELECT * FROM macro WHERE usd_index IS NOT NULL) m ON p.price_date >= m.date)
+        WHERE date < greatest((SELECT max(price_date) FROM prices), (SELECT max(date) FROM macro)) - 30""",
     "return_terciles_approx": "SELECT true AS low_ok, true AS high_ok",
     "rf_predictions": """
         SELECT split, label, count(*) AS row_count, count(*) AS predicted_rows, true AS same_accuracy

@@ -21,14 +21,14 @@ from straitflow.config import (
     PANEL_METRICS,
     FeatureSettings,
 )
-from straitflow.functions.dates import utc_timestamp
+from straitflow.functions.dates import utc_date, utc_midnight, utc_timestamp
 from straitflow.functions.geo import in_box
 from straitflow.operators import clean, features, graph, labels, panel, series, tagging, training
 from straitflow.plans import jobs
 from straitflow.session import scratch_path, staged
 from straitflow.sources import catalog, events, market, sample
+from straitflow.streaming import asof, rolling, steps
 from straitflow.streaming import sources as stream_io
-from straitflow.streaming import steps
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -767,7 +767,7 @@ def _delivered(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
     """A stream over deliveries, a batch each."""
     path = scratch_path(spark, "deliveries")
     stream_io.deliver(parts, path)
-    return stream_io.file_stream(spark, path, parts[0].schema, files_per_trigger=1)
+    return stream_io.file_stream(spark, path, parts[0].schema, files_per_trigger=stream_io.DELIVERY_FILES)
 
 
 def _by_days(frame: DataFrame, day: str, batches: int = 4) -> list[DataFrame]:
@@ -871,6 +871,50 @@ def stream_late_data(spark: SparkSession, d: str) -> DataFrame:
     return stream_io.run_append(steps.count_by_day(stream, "event_type"), "late")
 
 
+@query
+def stream_rolling_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Means over observed rows from three deliveries: the newer days, the older ones, late rows of all days."""
+    root = scratch_path(spark, "rolling-rows")
+    rows = sample.table(spark, d, "lineitem")
+    late, early = F.col("l_linenumber") == 7, F.year("l_shipdate") <= 1997
+    parts = [rows.filter(~late & ~early), rows.filter(~late & early), rows.filter(late)]
+    kept = rolling.RollingRows(spark, root, fold_every=2)
+    tag = rolling.writer(kept, lambda batch: steps.tagged_stream(sample.as_analysis_rows(batch)))
+    stream_io.run_batches(_delivered(spark, parts), tag, f"{root}/checkpoint")
+    return _rounded(kept.current())
+
+
+#: How far a report may lag behind the rows that it is wanted for.
+REPORT_DELAY_DAYS = 30
+
+
+@query
+def stream_asof_join(spark: SparkSession, d: str) -> DataFrame:
+    """Price days and macro reports as two streams; reports come up to 19 days late, some of them a delivery later."""
+    prices = _prices(spark, d).select(
+        utc_midnight("price_date").alias("at"),
+        "commodity",
+        F.explode(F.array(*[F.lit(s) for s in SETTINGS.macro_series])).alias("series_id"),
+    )
+    macro = series.long_series(sample.sample_macro(spark, d), SETTINGS.macro_series)
+    macro = macro.select(utc_midnight("date").alias("at"), "series_id", "value")
+    ends = _prices(spark, d).agg(F.min("price_date").alias("mn"), F.max("price_date").alias("mx")).first()
+    if ends["mn"] is None:
+        return prices.select(utc_date("at").alias("date"), "commodity", "series_id", F.lit(None).cast("double").alias("value"))
+    batches, span = 4, (ends["mx"] - ends["mn"]).days // 4 + 1
+
+    def parts(frame: DataFrame, lag: Column) -> list[DataFrame]:
+        arrival = F.date_diff(utc_date("at"), F.lit(ends["mn"])) + lag
+        slot = F.greatest(F.lit(0), F.least(F.lit(batches - 1), F.floor(arrival / span)))
+        return [frame.filter(slot == i) for i in range(batches)]
+
+    left = _delivered(spark, parts(prices, F.lit(0)))
+    right = _delivered(spark, parts(macro, F.dayofmonth(utc_date("at")) % 20))
+    joined = asof.asof_stream(left, right, ["series_id"], "at", "value", f"{REPORT_DELAY_DAYS} days")
+    out = stream_io.run_append(joined, "asof")
+    return _rounded(out.select(utc_date("at").alias("date"), "commodity", "series_id", "value"))
+
+
 # --- graph ------------------------------------------------------------------
 
 

@@ -77,3 +77,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The path as the JVM's file systems take it."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from straitflow.session import scratch_path
+from straitflow.session import hadoop_path, scratch_path
+from straitflow.streaming.changes import ChangeLog
 
 
 def file_stream(
@@ -51,41 +52,49 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
 def run_update(stream: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     """Run over everything available in update mode; returns the last state of every key.
 
-    Each micro-batch writes the state after it to a folder of its own: the rows of the batch before
-    whose keys did not change, and the changed ones. A repeated batch replaces its own folder, and
-    reading the result reads the newest only.
+    A micro-batch writes the keys that it changed, and reading takes the last version of each.
     """
     spark = stream.sparkSession
     out = scratch_path(spark, name)
-    written: list[int] = []
-
-    def write_batch(changed: DataFrame, batch_id: int) -> None:
-        state = changed
-        earlier = [b for b in written if b < batch_id]
-        if earlier:
-            before = spark.read.schema(stream.schema).parquet(f"{out}/state={earlier[-1]}")
-            same = [before[k].eqNullSafe(changed[k]) for k in keys]
-            state = before.join(changed, same, "left_anti").unionByName(changed)
-        state.write.mode("overwrite").parquet(f"{out}/state={batch_id}")
-        written.append(batch_id)
+    log = ChangeLog(spark, f"{out}/state", stream.schema, keys)
+    run_batches(stream, log.write, f"{out}/checkpoint", mode="update")
+    return log.current()
 
+
+def run_batches(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> None:
+    """Run a function on every micro-batch of what is available."""
     query = (
-        stream.writeStream.outputMode("update")
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", f"{out}/checkpoint")
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    if not written:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{out}/state={written[-1]}")
 
 
-def deliver(parts: Sequence[DataFrame], path: str) -> None:
-    """Write frames to one folder one after another, a file each, as deliveries arrive.
+#: Files of a delivery, each read by a task of its own.
+DELIVERY_FILES = 4
+
+
+def deliver(parts: Sequence[DataFrame], path: str, files: int = DELIVERY_FILES) -> None:
+    """Write frames to one folder one after another, as deliveries arrive, each as so many files.
 
-    A file stream reads by time of arrival; with one file per trigger every part is a batch.
+    A file stream reads by time of arrival; with as many files per trigger every part is a batch. Parts with
+    fewer rows than files are filled up with empty files.
     """
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
+        spark = part.sparkSession
+        root = hadoop_path(spark, path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+        def held() -> int:
+            return sum(s.getPath().getName().startswith("part-") for s in fs.listStatus(root)) if fs.exists(root) else 0
+
+        before = held()
+        part.repartition(files).write.mode("append").parquet(path)
+        empty = spark.createDataFrame([], part.schema).coalesce(1)
+        while held() < before + files:
+            empty.write.mode("append").parquet(path)
