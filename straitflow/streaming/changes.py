@@ -21,9 +21,10 @@ class ChangeLog:
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], fold_every: int = 16
+        self, spark: SparkSession, path: str, schema: T.StructType | str, keys: Sequence[str], fold_every: int = 16
     ):
-        self.spark, self.path, self.schema, self.keys, self.fold_every = spark, path, schema, tuple(keys), fold_every
+        self.spark, self.path, self.keys, self.fold_every = spark, path, tuple(keys), fold_every
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def _written(self, kind: str) -> list[int]:
         """The batches whose folders are complete."""
@@ -36,7 +37,10 @@ class ChangeLog:
 
     def current(self, before: int | None = None) -> DataFrame:
         """One row per key: its last version ahead of a batch, or of all."""
-        snapshots = [n for n in self._written("snapshot") if before is None or n < before]
+        return self._state(before, before)
+
+    def _state(self, before: int | None, snapshots_before: int | None) -> DataFrame:
+        snapshots = [n for n in self._written("snapshot") if snapshots_before is None or n < snapshots_before]
         start = snapshots[-1] if snapshots else -1
         changes = [n for n in self._written("change") if n > start and (before is None or n < before)]
         folders = [(n, f"{self.path}/change/batch={n}") for n in changes]
@@ -58,4 +62,5 @@ class ChangeLog:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         changed.select(*columns).write.mode("overwrite").parquet(f"{self.path}/change/batch={batch_id}")
         if (batch_id + 1) % self.fold_every == 0:
-            self.current(batch_id + 1).write.mode("overwrite").parquet(f"{self.path}/snapshot/batch={batch_id}")
+            # Not from the snapshot that an earlier attempt at this batch may have left.
+            self._state(batch_id + 1, batch_id).write.mode("overwrite").parquet(f"{self.path}/snapshot/batch={batch_id}")

@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from straitflow.config import CONFLICT_ROOTS, PANEL_METRICS
 from straitflow.operators.panel import rolling_means
@@ -19,7 +18,7 @@ SUMS = (
     "total_mentions long, conflict_events long"
 )
 DAY_KEYS = ("chokepoint", "event_date")
-DAYS = T.StructType.fromDDL(f"event_date date, chokepoint string, {SUMS}")
+SUM_NAMES = [field.split()[0] for field in SUMS.split(", ")]
 
 
 def day_sums(tagged: DataFrame, conflict_roots: Sequence[str] = CONFLICT_ROOTS) -> DataFrame:
@@ -52,12 +51,11 @@ def panel_from_sums(days: DataFrame) -> DataFrame:
     )
 
 
-def rolled_schema(windows: Sequence[int]) -> T.StructType:
+def rolled_schema(windows: Sequence[int]) -> str:
     kinds = {"event_count": "long", "total_mentions": "long"}
     own = [f"{m} {kinds.get(m, 'double')}" for m in PANEL_METRICS]
-    return T.StructType.fromDDL(
-        ", ".join(["event_date date, chokepoint string", *own, *[f"{m}_{n}d double" for m in PANEL_METRICS for n in windows]])
-    )
+    means = [f"{m}_{n}d double" for m in PANEL_METRICS for n in windows]
+    return ", ".join(["event_date date, chokepoint string", *own, *means])
 
 
 class RollingRows:
@@ -71,7 +69,7 @@ class RollingRows:
 
     def __init__(self, spark: SparkSession, path: str, windows: Sequence[int] = (7, 30), fold_every: int = 16):
         self.windows = tuple(windows)
-        self.days = ChangeLog(spark, f"{path}/days", DAYS, DAY_KEYS, fold_every)
+        self.days = ChangeLog(spark, f"{path}/days", f"event_date date, chokepoint string, {SUMS}", DAY_KEYS, fold_every)
         self.rows = ChangeLog(spark, f"{path}/rows", rolled_schema(windows), DAY_KEYS, fold_every)
 
     def add(self, tagged: DataFrame, batch_id: int) -> None:
@@ -79,7 +77,7 @@ class RollingRows:
         new = staged(day_sums(tagged), "touched-days")
         touched = new.select(*DAY_KEYS).withColumn("touched", F.lit(True))
         before = self.days.current(batch_id).join(new.select("chokepoint").distinct(), "chokepoint", "left_semi")
-        summed = [F.sum(c).alias(c) for c in DAYS.fieldNames()[2:]]
+        summed = [F.sum(c).alias(c) for c in SUM_NAMES]
         days = staged(before.unionByName(new).groupBy(*DAY_KEYS).agg(*summed), "box-days")
         self.days.write(days.join(touched, list(DAY_KEYS), "left_semi"), batch_id)
         rolled = rolling_means(panel_from_sums(days), self.windows)
