@@ -271,6 +271,9 @@ _BODIES = {
     "features_complete_rows": "SELECT event_date, chokepoint, label FROM features",
     "train_window_filter": f"SELECT {_FEATURE_COLUMNS} FROM features WHERE event_date >= DATE '1998-01-01'",
     "dedup_events": f"SELECT {_BRIEF} FROM deduped",
+    "dedup_across_deliveries": f"SELECT {_BRIEF} FROM deduped",
+    "retire_late_rows": _BY_MONTH,
+    "feature_refresh": f"SELECT {_FEATURE_COLUMNS} FROM features",
     "dedup_key_count": f"SELECT count(*) AS key_count FROM (SELECT DISTINCT {_KEY} FROM incident)",
     "dedup_ratio": f"""
         SELECT (SELECT count(*) FROM incident) AS row_count, count(*) AS key_count,

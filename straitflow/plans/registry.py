@@ -24,9 +24,9 @@ from straitflow.config import (
 from straitflow.functions.dates import utc_date, utc_midnight, utc_timestamp
 from straitflow.functions.geo import in_box
 from straitflow.operators import clean, features, graph, labels, panel, series, tagging, training
-from straitflow.plans import jobs
+from straitflow.plans import jobs, refresh
 from straitflow.session import scratch_path, staged
-from straitflow.sources import catalog, events, market, sample
+from straitflow.sources import catalog, events, history, market, sample
 from straitflow.streaming import asof, rolling, steps
 from straitflow.streaming import sources as stream_io
 
@@ -266,6 +266,45 @@ def tier_summaries(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(summaries[0].unionByName(summaries[1]))
 
 
+@query
+def retire_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Months retired, late rows of them delivered afterwards and retired too, then more months: archive and store together."""
+    root = scratch_path(spark, "retire")
+    store, archive = f"{root}/store", f"{root}/archive"
+    rows = sample.as_event_rows(sample.table(spark, d, "lineitem"))
+    late = F.col("NumMentions") == 7
+    events.write_event_store(rows.filter(~late), store, delivery="in time")
+    catalog.retire_before(spark, store, archive, date(1997, 1, 1))
+    events.write_event_store(rows.filter(late), store, delivery="late")
+    catalog.retire_before(spark, store, archive, date(1997, 1, 1))
+    catalog.retire_before(spark, store, archive, date(1998, 7, 1))
+    columns = ["year", "month", "NumMentions"]
+    kept, gone = events.read_event_store(spark, store), spark.read.parquet(archive)
+    return _rows_by_month(kept.select(*columns).unionByName(gone.select(*columns)))
+
+
+@query
+def feature_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """A feature table built without some days and without late rows, then refreshed with either."""
+    root = scratch_path(spark, "refresh")
+    prices, macro = sample.sample_prices(spark, d), sample.sample_macro(spark, d)
+    rows = sample.sample_events(spark, d)
+    late = (F.col("NumMentions") == 7) & (F.year("event_date") == 1996)
+    missing = F.col("event_date").between(F.lit(date(1999, 6, 1)), F.lit(date(1999, 6, 10)))
+
+    def deliver(part: DataFrame) -> DataFrame:
+        months = clean.with_date_parts(part).repartition("year", "month")
+        months.write.mode("append").partitionBy("year", "month").parquet(f"{root}/store")
+        return spark.read.parquet(f"{root}/store")
+
+    paths = f"{root}/panel", f"{root}/features"
+    refresh.build(spark, deliver(rows.filter(~late & ~missing)), prices, macro, *paths, SETTINGS)
+    for part in (rows.filter(missing), rows.filter(late)):
+        store, days = deliver(part), refresh.touched_days(part)
+        refresh.refresh(spark, store, days, prices, macro, *paths, SETTINGS)
+    return _rounded(spark.read.parquet(paths[1]).drop("year", "month"))
+
+
 # --- projections, filters, predicates ---------------------------------------
 
 
@@ -372,6 +411,18 @@ def dedup_events(spark: SparkSession, d: str) -> DataFrame:
     return _brief(clean.dedup_events(sample.sample_events(spark, d)))
 
 
+@query
+def dedup_across_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """Four deliveries, one of them twice, each de-duplicated against those before: copies lie in different ones."""
+    rows = sample.sample_events(spark, d)
+    part = F.pmod(F.xxhash64("GLOBALEVENTID"), F.lit(3))
+    name, schema = f"event_history_{uuid.uuid4().hex}", ", ".join(f"{n} {t}" for n, t in rows.dtypes)
+    known = history.EventHistory(spark, name, scratch_path(spark, "history"), schema, buckets=8)
+    for i in (2, 1, 2, 0):
+        known.add(rows.filter(part == i))
+    return _brief(known.survivors())
+
+
 @query
 def dedup_key_count(spark: SparkSession, d: str) -> DataFrame:
     return clean.dedup_any(sample.sample_events(spark, d)).agg(F.count("*").alias("key_count"))
