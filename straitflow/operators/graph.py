@@ -117,3 +117,52 @@ def page_rank(
             ranks = ranks.checkpoint()
     links.unpersist()
     return ranks.select("node", "rank")
+
+
+def harmonic_closeness(
+    edges: DataFrame, max_rounds: int = 64, lg_size: int = 12, edges_per_salt: int = 1_000_000
+) -> DataFrame:
+    """node, reached, closeness: about how many other nodes a node reaches, and the sum of 1 / distance over them.
+
+    Distances count edges along their direction. Each node holds a HyperLogLog sketch of the nodes that it has reached;
+    in a round it takes in those of its successors, and what its estimate grows by in round t is at distance t.
+    Only nodes whose sketch changed pass it on, and rounds end when none does, or after `max_rounds`. The error
+    is that of the sketch, about 1.04 / sqrt(2 ** lg_size). A node that many point to is spread over salts like
+    in `page_rank`; unions combine on the map side.
+    """
+    spark = edges.sparkSession
+    links = staged(edges.select("src", "dst").where("src <> dst").distinct(), "links")
+    sizes = staged(
+        links.groupBy("dst").agg(F.ceil(F.count("*") / edges_per_salt).cast("int").alias("salts")), "in-degrees"
+    )
+    salted = F.pmod(F.xxhash64("src"), F.col("salts")).cast("int").alias("salt")
+    links = staged(links.join(sizes, "dst").select("src", "dst", salted), "salted-links")
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("node")).where("node IS NOT NULL").distinct()
+    own = ends.groupBy("node").agg(F.hll_sketch_agg("node", lg_size).alias("sketch"))
+    state = own.join(sizes.withColumnRenamed("dst", "node"), "node", "left").select(
+        "node", F.coalesce("salts", F.lit(0)).alias("salts"), "sketch",
+        F.hll_sketch_estimate("sketch").alias("size"), F.lit(0.0).alias("closeness"), F.lit(True).alias("changed"),
+    )
+    state = staged(state, "closeness")
+    for step in range(1, max_rounds + 1):
+        sent = state.filter("changed AND salts > 0").select(
+            F.col("node").alias("dst"), "sketch", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+        )
+        received = links.join(sent, ["dst", "salt"]).select(F.col("src").alias("node"), "sketch")
+        taken = received.groupBy("node").agg(F.hll_union_agg("sketch", True).alias("more"))
+        union = F.when(F.col("more").isNotNull(), F.hll_union("sketch", "more", True)).otherwise(F.col("sketch"))
+        grown = state.join(taken, "node", "left").select(
+            "node", "salts", union.alias("sketch"), "size", "closeness"
+        )
+        now = F.greatest(F.hll_sketch_estimate("sketch"), "size")
+        state = staged(
+            grown.withColumn("_now", now).select(
+                "node", "salts", "sketch", F.col("_now").alias("size"),
+                (F.col("closeness") + (F.col("_now") - F.col("size")) / F.lit(float(step))).alias("closeness"),
+                (F.col("_now") > F.col("size")).alias("changed"),
+            ),
+            "closeness",
+        )
+        if state.filter("changed").isEmpty():
+            break
+    return state.select("node", (F.col("size") - 1).alias("reached"), "closeness")

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from straitflow.config import MODEL_INPUTS
@@ -20,6 +20,9 @@ from straitflow.config import MODEL_INPUTS
 NUM_TREES, MAX_DEPTH, SEED = 100, 8, 42
 GRID_TREES, GRID_DEPTHS, FOLDS = (50, 100), (5, 8), 3
 
+# Trading days that a label looks ahead.
+LABEL_HORIZON = 5
+
 # Partitions of training rows; part of what makes a seeded forest repeatable.
 PARTITIONS = 4
 
@@ -109,6 +112,85 @@ def with_time_folds(train: DataFrame, folds: int = FOLDS) -> DataFrame:
     )
 
 
+def walk_forward_folds(rows: DataFrame, folds: int = FOLDS, purge_rows: int = LABEL_HORIZON) -> DataFrame:
+    """The rows of each of some folds, with ``fold`` (from 1) and ``role``: train or validation.
+
+    The days that have rows are cut into folds + 1 blocks of equal number. Fold k is validated on block k + 1 and trained on
+    all blocks before it, without the last ``purge_rows`` days ahead of it: their labels look that many
+    rows on, into the days that they would be judged by. So no row is trained on that is later than one it is judged by.
+    """
+    days = rows.select("event_date").where("event_date IS NOT NULL").distinct()
+    # One row per calendar day: bounded, though in one task.
+    position = F.row_number().over(Window.orderBy("event_date")) - 1
+    numbered = days.withColumn("_day", position)
+    total = numbered.agg(F.count("*").alias("n")).scalar()
+    numbered = numbered.withColumn("_days", total)
+    fold = F.explode(F.sequence(F.lit(1), F.lit(folds)))
+    start, stop = (F.floor(F.col("_days") * (F.col("fold") + i) / (folds + 1)) for i in (0, 1))
+    roles = (
+        numbered.withColumn("fold", fold)
+        .withColumn(
+            "role",
+            F.when((F.col("_day") >= start) & (F.col("_day") < stop), "validation").when(
+                F.col("_day") < start - purge_rows, "train"
+            ),
+        )
+        .filter("role IS NOT NULL")
+        .select("event_date", "fold", "role")
+    )
+    return rows.join(roles, "event_date")
+
+
+def walk_forward_scores(
+    spark: SparkSession,
+    train: DataFrame,
+    inputs: Sequence[str] = MODEL_INPUTS,
+    trees: Sequence[int] = GRID_TREES,
+    depths: Sequence[int] = GRID_DEPTHS,
+    folds: int = FOLDS,
+    purge_rows: int = LABEL_HORIZON,
+    partitions: int = PARTITIONS,
+) -> DataFrame:
+    """num_trees, max_depth, fold, train_rows, validation_rows, f1, accuracy: every grid point in every fold.
+
+    A fold without training or validation rows is an error.
+    """
+    members = walk_forward_folds(train, folds, purge_rows).persist()
+    out = []
+    try:
+        for fold in range(1, folds + 1):
+            own = members.filter(F.col("fold") == fold).drop("fold")
+            earlier, later = (own.filter(F.col("role") == role).drop("role") for role in ("train", "validation"))
+            n_train, n_later = earlier.count(), later.count()
+            if not n_train or not n_later:
+                raise ValueError(f"fold {fold} has {n_train} rows to train on and {n_later} to judge by")
+            for n_trees in trees:
+                for depth in depths:
+                    model = fit_forest(earlier, inputs, n_trees, depth, partitions)
+                    score = metrics(model.transform(later)).first()
+                    out.append((n_trees, depth, fold, n_train, n_later, float(score["f1"]), float(score["accuracy"])))
+    finally:
+        members.unpersist()
+    return spark.createDataFrame(
+        out, "num_trees int, max_depth int, fold int, train_rows long, validation_rows long, f1 double, accuracy double"
+    )
+
+
+def train_walk_forward(
+    spark: SparkSession, train: DataFrame, inputs: Sequence[str] = MODEL_INPUTS, **options
+) -> tuple[PipelineModel, DataFrame]:
+    """The grid point with the best mean F1 over folds that walk forward, fitted on all rows; and the scores."""
+    scores = walk_forward_scores(spark, train, inputs, **options)
+    best = (
+        scores.groupBy("num_trees", "max_depth")
+        .agg(F.avg("f1").alias("f1"))
+        .orderBy(F.col("f1").desc(), "num_trees", "max_depth")
+        .first()
+    )
+    partitions = options.get("partitions", PARTITIONS)
+    return fit_forest(train, inputs, best["num_trees"], best["max_depth"], partitions), scores
+
+
 def cross_validate(
     train: DataFrame,
     inputs: Sequence[str] = MODEL_INPUTS,

@@ -18,7 +18,14 @@ from straitflow.operators.features import (
     panel_features,
 )
 from straitflow.operators.training import confusion_matrix, importances, metrics, time_split, train_best
-from straitflow.sources.events import read_event_store, scan_events, write_event_store
+from straitflow.session import staged
+from straitflow.sources.events import (
+    read_event_store,
+    scan_checked_events,
+    scan_events,
+    write_event_store,
+    write_quarantine,
+)
 from straitflow.sources.market import coalesce_close, scan_macro, scan_wide_prices
 
 
@@ -42,6 +49,35 @@ def ingest(
     return loaded.get["rows"]
 
 
+def ingest_checked(
+    spark: SparkSession,
+    raw: str,
+    store: str,
+    quarantine: str,
+    delivery: str | None = None,
+    max_bad_share: float = 0.01,
+    rebuild: bool = False,
+) -> tuple[int, int]:
+    """As ``ingest``, with malformed lines kept apart; returns the rows stored and the lines quarantined.
+
+    The parsed rows are staged, and lines counted along the way. If more than ``max_bad_share`` of them are malformed
+    the load is given up before store or quarantine are touched: a file in another format is not a file with
+    some bad lines.
+    """
+    lines = Observation("lines")
+    parsed = scan_checked_events(spark, raw).observe(
+        lines, F.count(F.lit(1)).alias("all"), F.count("bad_line").alias("bad")
+    )
+    parsed = staged(parsed, "parsed")
+    counts = lines.get
+    if counts["bad"] > max_bad_share * counts["all"]:
+        raise ValueError(f"{counts['bad']} of {counts['all']} lines are malformed; nothing was loaded")
+    delivery = delivery or uuid.uuid4().hex
+    write_quarantine(parsed.filter("bad_line IS NOT NULL"), quarantine, delivery)
+    write_event_store(parsed.filter("bad_line IS NULL").drop("bad_line"), store, delivery, rebuild=rebuild)
+    return counts["all"] - counts["bad"], counts["bad"]
+
+
 def build_panel(
     spark: SparkSession,
     store: str,

@@ -309,12 +309,12 @@ _BODIES = {
     "eda_chokepoint_totals": f"SELECT chokepoint, count(*) AS event_count, chokepoint IN ({_OIL}) AS oil_relevant FROM tagged GROUP BY 1",
     "price_lags": f"SELECT {_PRICE_COLUMNS}, "
     + ", ".join(f"round(CAST(close_lag{k} AS DOUBLE), 6) AS close_lag{k}" for k in (1, 5, 20))
-    + " FROM lagged WHERE commodity = '1-URGENT'",
-    "price_lead": f"SELECT {_PRICE_COLUMNS}, round(CAST(close_fwd5 AS DOUBLE), 6) AS close_fwd5 FROM lagged WHERE commodity = '1-URGENT'",
-    "returns_5_20": f"SELECT {_PRICE_COLUMNS}, {_round(['return_5d', 'return_20d'])} FROM oil",
-    "daily_return": f"SELECT {_PRICE_COLUMNS}, round(daily_return, 6) AS daily_return FROM oil",
-    "volatility_20": f"SELECT {_PRICE_COLUMNS}, {_round(['daily_return', 'volatility_20d'])} FROM oil",
-    "forward_return_5": f"SELECT {_PRICE_COLUMNS}, round(fwd_return_5d, 6) AS fwd_return_5d FROM oil",
+    + " FROM lagged",
+    "price_lead": f"SELECT {_PRICE_COLUMNS}, round(CAST(close_fwd5 AS DOUBLE), 6) AS close_fwd5 FROM lagged",
+    "returns_5_20": f"SELECT {_PRICE_COLUMNS}, {_round(['return_5d', 'return_20d'])} FROM priced",
+    "daily_return": f"SELECT {_PRICE_COLUMNS}, round(daily_return, 6) AS daily_return FROM priced",
+    "volatility_20": f"SELECT {_PRICE_COLUMNS}, {_round(['daily_return', 'volatility_20d'])} FROM priced",
+    "forward_return_5": f"SELECT {_PRICE_COLUMNS}, round(fwd_return_5d, 6) AS fwd_return_5d FROM priced",
     "returns_all_commodities": f"SELECT {_PRICE_COLUMNS}, {_round(['return_5d', 'return_20d', 'daily_return', 'volatility_20d', 'fwd_return_5d'])} FROM priced",
     "return_terciles": f"SELECT {_round(['low', 'high'])} FROM cuts",
     "tercile_labels": "SELECT price_date, round(CAST(close AS DOUBLE), 6) AS close, round(fwd_return_5d, 6) AS fwd_return_5d, CAST(label AS INTEGER) AS label FROM labelled",
@@ -400,8 +400,61 @@ _BODIES = {
     "rf_predictions": """
         SELECT split, label, count(*) AS row_count, count(*) AS predicted_rows, true AS same_accuracy
         FROM splits WHERE split <> 'train' GROUP BY 1, 2""",
-    "forest_confusion_matrix": """
+    "forest_matrix_totals": """
         SELECT split, label, CAST(count(*) AS BIGINT) AS row_count FROM splits WHERE split <> 'train' GROUP BY 1, 2""",
+    "walk_forward_folds": """
+        SELECT CAST(fold AS INTEGER) AS fold, role, event_date, chokepoint FROM (
+            SELECT f.event_date, f.chokepoint, k AS fold,
+                   CASE WHEN i >= n * k // 5 AND i < n * (k + 1) // 5 THEN 'validation' WHEN i < n * k // 5 - 5 THEN 'train' END AS role
+            FROM features f
+            JOIN (SELECT event_date, row_number() OVER (ORDER BY event_date) - 1 AS i, count(*) OVER () AS n
+                  FROM (SELECT DISTINCT event_date FROM features)) d ON f.event_date = d.event_date,
+                 (SELECT unnest(range(1, 5)) AS k))
+        WHERE role IS NOT NULL""",
+    "walk_forward_scores": """
+        SELECT CAST(20 AS INTEGER) AS num_trees, CAST(max_depth AS INTEGER) AS max_depth, CAST(fold AS INTEGER) AS fold,
+               count(CASE WHEN role = 'train' THEN 1 END) AS train_rows,
+               count(CASE WHEN role = 'validation' THEN 1 END) AS validation_rows, true AS is_share
+        FROM (SELECT k AS fold,
+                     CASE WHEN i >= n * k // 4 AND i < n * (k + 1) // 4 THEN 'validation' WHEN i < n * k // 4 - 5 THEN 'train' END AS role
+              FROM features f
+              JOIN (SELECT event_date, row_number() OVER (ORDER BY event_date) - 1 AS i, count(*) OVER () AS n
+                    FROM (SELECT DISTINCT event_date FROM features)) d ON f.event_date = d.event_date,
+                   (SELECT unnest(range(1, 4)) AS k)), (VALUES (3), (5)) AS g(max_depth)
+        GROUP BY 1, 2, 3""",
+    "ingest_quarantine": """
+        SELECT CASE mentions WHEN 7 THEN 'too few fields' WHEN 6 THEN 'too many fields' WHEN 5 THEN 'bad value' ELSE 'stored' END AS kind,
+               CASE WHEN mentions < 5 THEN CAST(year(event_date) AS INTEGER) END AS year, count(*) AS row_count
+        FROM incident GROUP BY 1, 2""",
+    "stored_sketch_terciles": "SELECT range_id, commodity, count(*) AS n, true AS low_ok, true AS high_ok FROM changed JOIN (VALUES "
+    + ", ".join(f"('{y}', DATE '{y}-01-01', DATE '{y}-12-31')" for y in range(1995, 2002)) + ", "
+    + ", ".join(f"('{y} and on', DATE '{y}-07-01', DATE '{y + 2}-06-30')" for y in range(1995, 2000))
+    + ", ('all', DATE '1995-01-01', DATE '2001-12-31')) AS r(range_id, mn, mx) ON price_date BETWEEN mn AND mx "
+    "WHERE fwd_return_5d IS NOT NULL GROUP BY 1, 2",
+    "geo_tag_quadtree": f"""
+        SELECT name, count(*) AS event_count FROM incident e JOIN (
+            SELECT concat('c', c_custkey) AS name, y - side / 4 AS lat_min, y + side / 4 AS lat_max,
+                   x - side / 2 AS lon_min, x + side / 2 AS lon_max
+            FROM (SELECT c_custkey, CAST(0.01 AS DOUBLE) * (1 << CAST(c_custkey % 15 AS INTEGER)) AS side,
+                         CAST((CASE c_custkey % 12 WHEN 0 THEN 2656 WHEN 1 THEN 3046 WHEN 2 THEN 1400 WHEN 3 THEN 4460
+                              WHEN 4 THEN 250 WHEN 5 THEN 908 WHEN 6 THEN 2450 WHEN 7 THEN -2350 ELSE 6000 END)
+                              + (c_custkey * 7919) % 600 - 300 AS DOUBLE) / CAST(100 AS DOUBLE) AS y,
+                         CAST((CASE c_custkey % 12 WHEN 0 THEN 5625 WHEN 1 THEN 3234 WHEN 2 THEN 4300 WHEN 3 THEN 3350
+                              WHEN 4 THEN 10150 WHEN 5 THEN -7968 WHEN 6 THEN 11950 WHEN 7 THEN -6950 ELSE 1000 END)
+                              + (c_custkey * 6131) % 600 - 300 AS DOUBLE) / CAST(100 AS DOUBLE) AS x
+                  FROM customer)) b
+          ON e.lat BETWEEN b.lat_min AND b.lat_max AND e.lon BETWEEN b.lon_min AND b.lon_max
+        GROUP BY 1""",
+    "graph_closeness": """
+        WITH RECURSIVE pairs AS (
+            SELECT n_name AS a, o_orderpriority AS b FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+            UNION SELECT n_name, concat('region ', r_name) FROM nation JOIN region ON n_regionkey = r_regionkey
+        ), hops AS (SELECT a AS src, b AS dst FROM pairs UNION SELECT b, a FROM pairs),
+        walks AS (
+            SELECT src, dst, 1 AS d FROM hops
+            UNION SELECT w.src, h.dst, d + 1 FROM walks w JOIN hops h ON w.dst = h.src WHERE d < 8
+        ), near AS (SELECT src, dst, min(d) AS d FROM walks WHERE src <> dst GROUP BY 1, 2)
+        SELECT src AS node, count(*) AS reached, round(sum(1.0::DOUBLE / d), 6) AS closeness FROM near GROUP BY 1""",
     "feature_importances": "SELECT feature, true AS is_share, CAST(1 AS DOUBLE) AS total FROM (VALUES "
     + ", ".join(f"('{c}')" for c in MODEL_INPUTS)
     + ") AS inputs(feature)",

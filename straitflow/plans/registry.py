@@ -23,7 +23,18 @@ from straitflow.config import (
 )
 from straitflow.functions.dates import utc_date, utc_midnight, utc_timestamp
 from straitflow.functions.geo import in_box
-from straitflow.operators import clean, features, graph, labels, panel, series, tagging, training
+from straitflow.operators import (
+    clean,
+    features,
+    graph,
+    labels,
+    panel,
+    quadtree,
+    series,
+    sketches,
+    tagging,
+    training,
+)
 from straitflow.plans import jobs, refresh
 from straitflow.session import scratch_path, staged
 from straitflow.sources import catalog, events, history, market, sample
@@ -205,6 +216,19 @@ def store_late_rows(spark: SparkSession, d: str) -> DataFrame:
     return _rows_by_month(events.read_event_store(spark, path))
 
 
+@query
+def ingest_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Event files with malformed lines: rows stored by year, and lines kept apart by reason."""
+    root = scratch_path(spark, "quarantine")
+    rows = sample.as_event_rows(sample.table(spark, d, "lineitem"))
+    sample.as_event_lines(rows).write.text(f"{root}/landing")
+    for _ in range(2):  # the second load replaces the first
+        jobs.ingest_checked(spark, f"{root}/landing", f"{root}/store", f"{root}/bad", "day", max_bad_share=0.9)
+    stored = events.read_event_store(spark, f"{root}/store").select(F.lit("stored").alias("kind"), "year")
+    apart = spark.read.parquet(f"{root}/bad").select(F.col("reason").alias("kind"), F.lit(None).cast("int").alias("year"))
+    return stored.unionByName(apart).groupBy("kind", "year").agg(F.count("*").alias("row_count"))
+
+
 @query
 def sink_event_store_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Write the store, then one month again: that month is replaced, the others stay."""
@@ -456,6 +480,13 @@ def geo_tag_range_join(spark: SparkSession, d: str) -> DataFrame:
     return _brief(tagging.tag_by_range(sample.sample_events(spark, d)), "chokepoint")
 
 
+@query
+def geo_tag_quadtree(spark: SparkSession, d: str) -> DataFrame:
+    """Events in each of many boxes, from tiny to world-wide."""
+    tagged = quadtree.tag_by_quadtree(sample.sample_events(spark, d), sample.crowded_boxes(spark, d))
+    return tagged.groupBy(F.col("chokepoint").alias("name")).agg(F.count("*").alias("event_count"))
+
+
 @query
 def geo_tag_grid_join(spark: SparkSession, d: str) -> DataFrame:
     return _brief(tagging.tag_by_grid(sample.sample_events(spark, d)), "chokepoint")
@@ -509,32 +540,32 @@ def eda_chokepoint_totals(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def price_lags(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(series.with_lags(_oil(spark, d)))
+    return _rounded(series.with_lags(_prices(spark, d)))
 
 
 @query
 def price_lead(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(series.with_lead(_oil(spark, d)))
+    return _rounded(series.with_lead(_prices(spark, d)))
 
 
 @query
 def returns_5_20(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(series.with_returns(_oil(spark, d)))
+    return _rounded(series.with_returns(_prices(spark, d)))
 
 
 @query
 def daily_return(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(series.with_daily_return(_oil(spark, d)))
+    return _rounded(series.with_daily_return(_prices(spark, d)))
 
 
 @query
 def volatility_20(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(series.with_volatility(_oil(spark, d)))
+    return _rounded(series.with_volatility(_prices(spark, d)))
 
 
 @query
 def forward_return_5(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(series.with_forward_return(_oil(spark, d)))
+    return _rounded(series.with_forward_return(_prices(spark, d)))
 
 
 @query
@@ -572,6 +603,32 @@ def return_terciles_approx(spark: SparkSession, d: str) -> DataFrame:
     return ranked.select(close("low", 0.33).alias("low_ok"), close("high", 0.66).alias("high_ok"))
 
 
+#: Ranges of months, by name: years, spans of several, everything.
+RANGES = [
+    *((str(y), date(y, 1, 1), date(y, 12, 1)) for y in range(1995, 2002)),
+    *((f"{y} and on", date(y, 7, 1), date(y + 2, 6, 1)) for y in range(1995, 2000)),
+    ("all", date(1995, 1, 1), date(2001, 12, 1)),
+]
+
+
+@query
+def stored_sketch_terciles(spark: SparkSession, d: str) -> DataFrame:
+    """Tercile cuts of many ranges from stored monthly sketches: values of each, and whether both cuts are at their rank."""
+    prices = staged(series.with_forward_return(_prices(spark, d)), "returns")
+    stored = staged(sketches.monthly_sketches(prices, "commodity", "price_date", "fwd_return_5d"), "sketches")
+    ranges = spark.createDataFrame(RANGES, "range_id string, first_month date, last_month date")
+    cuts = sketches.range_quantiles(stored, ranges, "commodity", (0.33, 0.66))
+    month = F.trunc("price_date", "month")
+    within = prices.filter("fwd_return_5d IS NOT NULL").join(ranges, (month >= F.col("first_month")) & (month <= F.col("last_month")))
+    ranked = within.join(cuts, ["range_id", "commodity"]).groupBy("range_id", "commodity", "n")
+
+    def at_rank(i: int, q: float) -> Column:
+        cut, value, n = F.get("cuts", F.lit(i)), F.col("fwd_return_5d").cast("double"), F.count("*")
+        return (F.count_if(value < cut) <= (q + 0.01) * n + 1) & (F.count_if(value <= cut) >= (q - 0.01) * n - 1)
+
+    return ranked.agg(at_rank(0, 0.33).alias("low_ok"), at_rank(1, 0.66).alias("high_ok"))
+
+
 @query
 def tercile_labels(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(_labelled(spark, d).select("price_date", "close", "fwd_return_5d", "label"))
@@ -778,6 +835,21 @@ def cv_grid(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def walk_forward_folds(spark: SparkSession, d: str) -> DataFrame:
+    folds = training.walk_forward_folds(_written_features(spark, d), folds=4)
+    return folds.select("fold", "role", "event_date", "chokepoint")
+
+
+@query
+def walk_forward_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Grid points by fold: rows trained on and judged by, and whether the scores are shares."""
+    table = _written_features(spark, d)
+    scores = training.walk_forward_scores(spark, table, trees=(20,), depths=(3, 5))
+    shares = F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1)
+    return scores.select("num_trees", "max_depth", "fold", "train_rows", "validation_rows", shares.alias("is_share"))
+
+
 @query
 def model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Held-out rows by split, and those that a saved and loaded forest classes otherwise."""
@@ -790,9 +862,15 @@ def model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def forest_confusion_matrix(spark: SparkSession, d: str) -> DataFrame:
-    """The matrix of the fitted forest on held-out rows, summed over its predictions."""
+    """The matrix of the fitted forest on held-out rows."""
     train, held_out = _split(spark, d)
-    cells = training.confusion_matrix(training.fit_forest(train).transform(held_out), "split")
+    return training.confusion_matrix(training.fit_forest(train).transform(held_out), "split")
+
+
+@query
+def forest_matrix_totals(spark: SparkSession, d: str) -> DataFrame:
+    """That matrix, summed over predictions."""
+    cells = forest_confusion_matrix(spark, d)
     return cells.groupBy("split", "label").agg(F.sum("row_count").alias("row_count"))
 
 
@@ -981,6 +1059,13 @@ def graph_degree(spark: SparkSession, d: str) -> DataFrame:
     return graph.degrees(sample.supplier_part_edges(spark, d))
 
 
+@query
+def graph_closeness(spark: SparkSession, d: str) -> DataFrame:
+    """On so small a graph the sketches are exact."""
+    found = graph.harmonic_closeness(sample.nation_links(spark, d))
+    return _rounded(found.select("node", "reached", "closeness"))
+
+
 @query
 def graph_pagerank(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(graph.page_rank(sample.supplier_part_edges(spark, d)))

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from straitflow.operators.clean import with_date_parts, with_event_date
 from straitflow.sources.schemas import EVENT_SCHEMA
@@ -27,6 +28,35 @@ def scan_events(spark: SparkSession, path: str, quote: str = "", lineage: bool =
     return df.withColumn("file_name", F.col("_metadata.file_name")) if lineage else df
 
 
+def scan_checked_events(spark: SparkSession, path: str, quote: str = "") -> DataFrame:
+    """As ``scan_events`` with ``lineage``, and the text of each malformed line in ``bad_line``, null for a good one.
+
+    Malformed is a line with more or fewer fields than the schema, or with a value that is not of its field's type.
+    Empty lines are no lines.
+    """
+    return (
+        spark.read.schema(f"{EVENT_SCHEMA}, bad_line STRING")
+        .option("sep", "\t")
+        .option("quote", quote)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "bad_line")
+        .csv(path)
+        .withColumn("file_name", F.col("_metadata.file_name"))
+    )
+
+
+def write_quarantine(bad: DataFrame, path: str, delivery: str) -> None:
+    """file_name, line, n_fields and reason of malformed lines, by delivery; a repeated delivery replaces its own."""
+    fields = F.size(F.split("bad_line", "\t", -1))
+    wanted = len(T.StructType.fromDDL(EVENT_SCHEMA).fields)
+    reason = F.when(fields < wanted, "too few fields").when(fields > wanted, "too many fields").otherwise("bad value")
+    (
+        bad.select("file_name", F.col("bad_line").alias("line"), fields.alias("n_fields"), reason.alias("reason"))
+        .write.mode("overwrite")
+        .parquet(f"{path}/delivery=load-{delivery}")
+    )
+
+
 def write_event_store(
     events: DataFrame,
     path: str,

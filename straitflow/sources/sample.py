@@ -65,6 +65,35 @@ def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_analysis_rows(table(spark, sf_dir, "lineitem"))
 
 
+def as_event_lines(rows: DataFrame) -> DataFrame:
+    """Event rows as lines of an event file, some malformed: cut short, with a field too many, with a date that is none."""
+    line = F.to_csv(F.struct(*rows.columns), {"sep": "\t", "quote": "", "emptyValue": "", "nullValue": ""})
+    spoilt = (
+        F.when(F.col("NumMentions") == 7, F.substring_index(line, "\t", 30))
+        .when(F.col("NumMentions") == 6, F.concat(line, F.lit("\tmore")))
+        .when(F.col("NumMentions") == 5, F.regexp_replace(line, "^([^\t]*)\t[^\t]*", "$1\tnone"))
+        .otherwise(line)
+    )
+    return rows.select(spoilt.alias("value"))
+
+
+def crowded_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box per customer around the places of the events, its longer side from 0.01 to 163.84 degrees."""
+    key = F.col("c_custkey")
+    lat, lon = (
+        (F.get(F.array(*[F.lit(c) for c in centres]), (key % 12).cast("int")) + (key * a) % 600 - 300).cast("double") / F.lit(100.0)
+        for centres, a in ((LAT_CENTRES, 7919), (LON_CENTRES, 6131))
+    )
+    side = F.lit(0.01) * F.call_function("shiftleft", F.lit(1), (key % 15).cast("int"))
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), key.cast("string")).alias("name"),
+        (lat - side / 4).alias("lat_min"),
+        (lat + side / 4).alias("lat_max"),
+        (lon - side / 2).alias("lon_min"),
+        (lon + side / 2).alias("lon_max"),
+    )
+
+
 def as_event_rows(lineitem: DataFrame) -> DataFrame:
     """All 58 fields of an event file; the ones without a counterpart stay null."""
     columns = _event_columns()
@@ -118,6 +147,24 @@ def sample_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.groupBy("date").agg(mean("weekly").alias("treasury_10y"), mean("monthly").alias("usd_index"))
 
 
+def nation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``src, dst``, both ways: nations and the commodities that their customers ordered, nations and their regions."""
+    nation = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    traded = nation_commodity_orders(spark, sf_dir).select("nation", F.col("commodity").alias("other")).distinct()
+    placed = nation.select(F.col("n_name").alias("nation"), F.concat(F.lit("region "), "r_name").alias("other"))
+    pairs = traded.unionByName(placed)
+    return pairs.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("nation").alias("src"), F.col("other").alias("dst")),
+                F.struct(F.col("other").alias("src"), F.col("nation").alias("dst")),
+            )
+        )
+    )
+
+
 def nation_commodity_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``nation, commodity, value``: orders summed per customer before they meet the customers."""
     per_customer = (
