@@ -4,35 +4,41 @@ A line is normalised to lower case without outer blanks. Its signature is taken
 of it are bucket keys, and every candidate pair is verified by the exact Jaccard similarity of all its shingles.
 Links go through distributed union-find, and each component keeps its first line.
 
-* Equal lines are one row from the first aggregation on, so copies cost a row per task, not a row each.
-* Signatures take all shingles of a line, as verification does, under independent hashes. A second signature over
-  the shingles that start where a word starts gives further keys, so a pair has two ways to share a bucket.
+* Equal lines are one row from the first aggregation on, so copies cost a row per task, not a row each. Lines shorter
+  than a shingle only meet their copies.
+* Signatures take all shingles of a line, as verification does. They are made of numpy arrays, all lines of a batch at
+  once: in DataFrame functions, 21 hashes of each shingle alone take the budget of the whole operator.
+* Keys are counted first. Only those that two lines have get their members, which a bit table of bounded size tells
+  ahead of the shuffle.
 * A bucket's lines first meet its most central lines, those with most neighbours over all buckets. A line with
   many variants is central to their buckets, and links them. Then all pairs of the bucket that are not linked yet
   meet by sketches, which tell unlike lines apart without a miss; so every pair of a bucket is judged exactly.
 * Texts are shuffled only for lines that are candidates and documents that lose a line; which these may be is
-  told by a bit table of bounded size.
+  told by a bit table too.
 
-Everything is DataFrame functions.
+Everything but signatures and verification is DataFrame functions.
 """
 
 from __future__ import annotations
 
-import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from straitflow.llm.shared import attached, components, keyed, marked_by, staged
 
-#: Characters of a shingle, and of the shortest line that is looked at.
+#: Characters of a shingle, and so of the shortest line that is looked at for more than copies.
 SHINGLE = 8
-LEAST_CHARS = 20
+
+#: Fixed value: a character that is no white space, as every line has that is looked at.
+WORD = "[^\\x20\\x09-\\x0D]"
 
 #: Seven bands of three: 99.3 % of pairs at a similarity of 0.8 share a bucket of all shingles, 99.99 % at 0.9.
 BANDS, ROWS = 7, 3
-LANES = [f"m{j}" for j in range(BANDS * ROWS)]
 SIMILARITY = 0.8
 
 #: Central lines of a bucket that its other lines meet first.
@@ -42,14 +48,14 @@ LEADERS = 8
 WORDS = 16
 BLOCK = 1024
 
-#: Words longer than this on average make a line's shingles start at every character.
-LONG_WORD = 20
+#: Characters that are hashed at a time, so that arrays stay in the processor's cache.
+CHUNK = 1 << 15
 
 
-def lines_of(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """doc_id, h (a hash of the text), line_no (from 0), line (normalised), id of every line long enough.
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, h (a hash of the text), line_no (from 0), line (normalised), id of every line with a word.
 
-    `id` is a 64-bit hash of the line, `id2` a second one that tells lines with equal `id` apart.
+    `id` is a 64-bit hash of the line.
     """
     line = F.lower(F.trim(F.col("raw")))
     return (
@@ -59,53 +65,73 @@ def lines_of(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
             F.posexplode(F.split(docs["text"].cast("string"), "\n")).alias("line_no", "raw"),
         )
         .select("doc_id", "h", "line_no", line.alias("line"))
-        .where(F.char_length("line") >= least_chars)
+        .where(F.col("line").rlike(WORD))
         .select("doc_id", "h", "line_no", "line", F.xxhash64("line").alias("id"))
     )
 
 
-def signatures(lines: DataFrame, seed: int = 17) -> DataFrame:
-    """id and the lanes of the MinHash signature of every distinct line."""
-    draw = random.Random(seed)
-    # One code point is four bytes of `UTF-32`, so a shingle is cut out without a walk along the line.
-    last = F.greatest((F.length("code") / 4).cast("int") - SHINGLE, F.lit(0))
-    # A row per shingle before anything is hashed: the rows never leave the stage that makes them.
-    shingles = (
-        lines.select("id", F.encode("line", "UTF-32").alias("code"))
-        .select("id", "code", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-        .select("id", F.xxhash64(F.substring("code", 4 * F.col("i") + 1, F.lit(4 * SHINGLE))).alias("x"))
-    )
-    # Hashed again after the exclusive or: the smallest hash is an independent random shingle for each constant.
-    return shingles.groupBy("id").agg(
-        *[F.min(F.hash(F.col("x").bitwiseXOR(F.lit(draw.randrange(-(2**63), 2**63))))).alias(m) for m in LANES]
-    )
-
-
-def word_signatures(lines: DataFrame, seed: int = 17) -> DataFrame:
-    """The same over the shingles at word starts only, or all where words are long: further keys beside those of all."""
-    draw = random.Random(seed)
-    # A row per shingle before anything is hashed: the rows never leave the stage that makes them.
-    long_words = F.char_length("line") > LONG_WORD * F.size("words")
-    last = F.when(long_words, F.char_length("line") - SHINGLE).otherwise(F.size("words") - 1)
-    next_words = [F.get("words", F.col("i") + k) for k in range(4)]
-    shingle = F.when(F.col("long"), F.substring("line", F.col("i") + 1, F.lit(SHINGLE))).otherwise(
-        F.substring(F.concat_ws(" ", *next_words), 1, SHINGLE)
-    )
-    shingles = (
-        lines.select("id", "line", F.split("line", " ").alias("words"))
-        .select("id", "line", "words", long_words.alias("long"), F.explode(F.sequence(F.lit(0), last)).alias("i"))
-        .select("id", F.hash(shingle).alias("x"))
-    )
-    # The smallest hash under exclusive or with a constant is another random shingle for each constant.
-    return shingles.groupBy("id").agg(
-        *[F.min(F.col("x").bitwiseXOR(F.lit(draw.randrange(-(2**31), 2**31)))).alias(m) for m in LANES]
-    )
-
-
-def bands(signed: DataFrame, first: int = 0) -> DataFrame:
+def shingle_hashes(codes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the shingle that begins at each code point, as far as there is a whole one."""
+    x, base = codes.astype(np.uint64), 0x9E3779B97F4A7C15
+    for step in (1, 2, 4):
+        x = x[:-step] * np.uint64(base) + x[step:]
+        base = base * base % 2**64
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def band_keys(codes: np.ndarray, ends: np.ndarray, seed: int = 17) -> np.ndarray:
+    """The bucket keys, a row each, of lines of SHINGLE code points or more that follow one another and end there."""
+    draw = np.random.default_rng(seed).integers(0, 2**31, (2, BANDS * ROWS), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    starts = np.concatenate([[0], ends[:-1]])
+    lanes = np.full((BANDS * ROWS, len(ends)), 2**32 - 1, np.uint32)
+    first = 0
+    while first < len(ends):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + CHUNK, side="right")))
+        low, high = int(starts[first]), int(ends[last - 1])
+        x = shingle_hashes(codes[low:high])
+        # Shingles that reach into the next line are left out.
+        inner = np.repeat(ends[first:last] - low, ends[first:last] - starts[first:last])[: len(x)]
+        x = x[np.arange(len(x)) + SHINGLE <= inner]
+        begin = starts[first:last] - low - np.arange(last - first) * (SHINGLE - 1)
+        a, b = x.astype(np.uint32), (x >> np.uint64(32)).astype(np.uint32)
+        for j in range(BANDS * ROWS):
+            lanes[j, first:last] = np.minimum.reduceat(a * draw[0, j] + b * draw[1, j], begin)
+        first = last
+    keys = np.empty((len(ends), BANDS), np.uint64)
+    for k in range(BANDS):
+        key = np.full(len(ends), k + 1, np.uint64)
+        for lane in lanes[k * ROWS : (k + 1) * ROWS]:
+            key = (key ^ lane) * np.uint64(0xD6E8FEB86659FD93)
+            key ^= key >> np.uint64(32)
+        keys[:, k] = key
+    return keys.view(np.int64)
+
+
+def signatures(lines: DataFrame) -> DataFrame:
+    """id and keys, the bucket keys of its bands, of every distinct line of SHINGLE characters or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, at = np.unique(batch.column(0).to_numpy(), return_index=True)
+            ids, text = batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))
+            if not len(ids):
+                continue
+            codes = np.frombuffer("".join(text.to_pylist()).encode("utf-32-le"), np.uint32)
+            keys = band_keys(codes, np.cumsum(pc.utf8_length(text).to_numpy().astype(np.int64)))
+            listed = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), BANDS).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, listed], ["id", "keys"])
+
+    long = lines.select("id", "line").where(F.char_length("line") >= SHINGLE)
+    # Equal lines have equal keys.
+    return long.mapInArrow(run, "id long, keys array<long>").groupBy("id").agg(F.first("keys").alias("keys"))
+
+
+def bands(signed: DataFrame) -> DataFrame:
     """id and key: the bucket keys of every signature."""
-    keys = [F.xxhash64(F.lit(first + b), *LANES[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)]
-    return signed.select("id", F.explode(F.array(*keys)).alias("key"))
+    return signed.select("id", F.explode("keys").alias("key"))
 
 
 def grams(line: str, n: int = SHINGLE) -> Column:
@@ -121,29 +147,43 @@ def grams(line: str, n: int = SHINGLE) -> Column:
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose lines' shingle sets have at least the similarity."""
+
+    def shingles(line: str) -> set[str]:
+        return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, right = None, set()
+        for batch in batches:
+            b = batch.column(1).to_pylist()
+            kept = []
+            for k, (line, other) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                if b[k] != last:  # sorted by the join, or nearly
+                    last, right = b[k], shingles(other)
+                left = shingles(line)
+                common = len(left & right)
+                if common >= similarity * (len(left) + len(right) - common):
+                    kept.append(k)
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(kept, pa.int64())) for c in batch.columns[:2]], ["a", "b"])
+
     both = (
         pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("left")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("line").alias("right")), "b")
-        .select("a", "b", grams("left").alias("x"), grams("right").alias("y"))
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    return (
-        both.select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("sizes"))
-        .where(F.col("common") >= similarity * (F.col("sizes") - F.col("common")))
-        .select("a", "b")
+        .select("a", "b", "left", "right")
     )
+    return both.mapInArrow(run, "a long, b long")
+
 
+def bucket_members(signed: DataFrame) -> DataFrame:
+    """key, id and n, the lines of the bucket, of all buckets with two lines or more."""
+    shared = staged(bands(signed).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    likely = marked_by(bands(signed), "key", shared.select("key")).where("marked").select("id", "key")
+    return likely.join(shared, "key").select("key", "id", "n")
 
-def links(docs: DataFrame, similarity: float = SIMILARITY, least_chars: int = LEAST_CHARS) -> DataFrame:
+
+def links(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """a and b, ids of distinct lines that are near duplicates, enough of them to connect every component."""
-    lines = lines_of(docs, least_chars)
-    keyed = bands(signatures(lines)).unionAll(bands(word_signatures(lines), BANDS))
-    buckets = (
-        keyed.groupBy("key")
-        .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("n"))
-        .where("least <> most")
-    )
-    members = staged(keyed.join(buckets.select("key", "n"), "key"))
+    lines = lines_of(docs)
+    members = staged(bucket_members(staged(signatures(lines))))
     # The line that others were made from shares more and larger buckets with them than they do among themselves.
     degrees = members.groupBy("id").agg(F.sum("n").alias("degree"))
     central = Window.partitionBy("key").orderBy(F.desc("degree"), "id")
@@ -157,7 +197,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, least_chars: int = LE
     pairs = staged(met.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     likely = marked_by(lines.select("id", "line"), "id", needed).where("marked").select("id", "line")
-    texts = staged(likely.groupBy("id").agg(F.min("line").alias("line")).join(needed, "id", "left_semi"))
+    texts = staged(likely.dropDuplicates(["id"]).join(needed, "id", "left_semi"))
     groups = staged(components(staged(verified(pairs, texts, similarity))))
     rest = staged(unmet(members, groups, texts, similarity).join(pairs, ["a", "b"], "left_anti"))
     stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
@@ -199,10 +239,10 @@ def unmet(members: DataFrame, groups: DataFrame, texts: DataFrame, similarity: f
     return found.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, least_chars: int = LEAST_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, h and line_no of every line that is not the first of its component, by doc_id and line_no."""
-    groups = components(links(docs, similarity, least_chars))
-    lines = lines_of(docs, least_chars).select("doc_id", "h", "line_no", "id", F.xxhash64("line", F.lit(1)).alias("id2"))
+    groups = components(links(docs, similarity))
+    lines = lines_of(docs).select("doc_id", "h", "line_no", "id", F.xxhash64("line", F.lit(1)).alias("id2"))
     placed = staged(
         lines.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
             "doc_id",
@@ -226,17 +266,16 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, least_chars:
 def dedup_lines(
     docs: DataFrame,
     similarity: float = SIMILARITY,
-    least_chars: int = LEAST_CHARS,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """doc_id, text without repeated lines, n_lines, n_removed, and `carried`, a struct of the columns to carry.
 
-    Lines shorter than `least_chars` stay. Of near-equal lines the one with the smallest doc_id and place stays;
-    a null doc_id comes first. Rows equal in id and text count as one document: both keep the same lines. A null
+    Lines without a word stay, and those shorter than a shingle have no duplicates but their copies. Of near-equal lines
+    the one with the smallest doc_id and place stays; a null doc_id comes first. Rows equal in id and text count as one document: both keep the same lines. A null
     text stays null, with no lines; a text whose lines all went is empty.
     """
     gone = staged(
-        removed_lines(docs, similarity, least_chars).groupBy("doc_id", "h").agg(F.collect_set("line_no").alias("gone"))
+        removed_lines(docs, similarity).groupBy("doc_id", "h").agg(F.collect_set("line_no").alias("gone"))
     )
     rows = attached(keyed(docs, carry), gone).withColumn("lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))

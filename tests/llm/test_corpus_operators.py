@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -172,18 +173,22 @@ def test_near_duplicates(spark):
 # --- lines ------------------------------------------------------------------
 
 
+def has_word(line):
+    return re.search("[^\\x20\\x09-\\x0D]", line) is not None
+
+
 def brute_lines(rows):
     """The text of each row after line de-duplication, by the exact similarity of all pairs of lines."""
     places = defaultdict(list)
     for doc_id, text in rows:
         for k, line in enumerate((text or "").split("\n")):
             line = line.strip(" ").lower()
-            if len(line) >= 20:
+            if has_word(line):
                 places[line].append((doc_id is not None, doc_id or 0, k))
     lines = sorted(places)
     sets = [{x[i : i + 8] for i in range(len(x) - 7)} for x in lines]
     near = [
-        (i, j) for i in range(len(lines)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+        (i, j) for i in range(len(lines)) for j in range(i) if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
     ]
     groups = dict(zip(lines, grouped(len(lines), near)))
     first = {}
@@ -196,7 +201,7 @@ def brute_lines(rows):
             kept = [
                 x
                 for k, x in enumerate(text.split("\n"))
-                if len(y := x.strip(" ").lower()) < 20 or first[groups[y]] == (doc_id is not None, doc_id or 0, k)
+                if not has_word(y := x.strip(" ").lower()) or first[groups[y]] == (doc_id is not None, doc_id or 0, k)
             ]
         out.append((doc_id, None if kept is None else "\n".join(kept)))
     return Counter(out)
