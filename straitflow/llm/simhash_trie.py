@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from straitflow.llm.shared import attached, components, keyed, staged
+from straitflow.llm.shared import attached, components, keyed, marked_by, staged
 
 BITS = 64
 #: Fixed value: A-Z to a-z, and the white space that ends a word.
@@ -66,18 +66,21 @@ def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
     return keyed(docs).select("doc_id", "h", "text").mapInArrow(run, "doc_id long, h long, fp long")
 
 
-def links(distinct: DataFrame, budget: int = 2, leaf_rows: int = 4096) -> DataFrame:
-    """a and b: edges whose components are those of all fingerprints in `fp` at most `budget` bits apart."""
-    rows = distinct.count()
+def links(distinct: DataFrame, budget: int = 2, leaf_rows: int = 4096, by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+    """a and b: edges whose components are those of all fingerprints in `fp` at most `budget` bits apart.
+
+    With columns `by`, fingerprints are linked within each value of these, and `rows` is their number in one of them.
+    """
+    rows = distinct.count() if rows is None else rows
     depth = max(0, min(14, math.ceil(math.log2(max(1, rows) / leaf_rows))))
     flips = [sum(1 << i for i in bits) for n in range(min(budget, depth) + 1) for bits in combinations(range(depth), n)]
     prefix = F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("long")
-    sent = distinct.select(prefix.alias("own"), "fp").select(
-        "own", F.explode(F.array(*[F.lit(x).cast("long") for x in flips])).alias("flip"), "fp"
+    sent = distinct.select(*by, prefix.alias("own"), "fp").select(
+        *by, "own", F.explode(F.array(*[F.lit(x).cast("long") for x in flips])).alias("flip"), "fp"
     )
     other = F.col("own").bitwiseXOR(F.col("flip"))
     cells = sent.select(
-        F.least("own", other).alias("low"), F.greatest("own", other).alias("high"), (F.col("own") > other).alias("right"), "fp"
+        *by, F.least("own", other).alias("low"), F.greatest("own", other).alias("high"), (F.col("own") > other).alias("right"), "fp"
     )
 
     def walk(group: pa.Table) -> pa.Table:
@@ -89,9 +92,12 @@ def links(distinct: DataFrame, budget: int = 2, leaf_rows: int = 4096) -> DataFr
             right = group.column("right").to_numpy(zero_copy_only=False)
             a, b = np.sort(fps[~right]), np.sort(fps[right])
         u, v = forest(a, b, depth, (low ^ high).bit_count(), budget)
-        return pa.table({"a": u.view(np.int64), "b": v.view(np.int64)})
+        keys = {c: pa.array([group.column(c)[0].as_py()] * len(u), group.schema.field(c).type) for c in by}
+        return pa.table({**keys, "a": u.view(np.int64), "b": v.view(np.int64)})
 
-    return cells.groupBy("low", "high").applyInArrow(walk, "a long, b long")
+    kinds = dict(distinct.dtypes)
+    schema = ", ".join([*[f"{c} {kinds[c]}" for c in by], "a long, b long"])
+    return cells.groupBy(*by, "low", "high").applyInArrow(walk, schema)
 
 
 def forest(a: np.ndarray, b: np.ndarray, depth: int, differing: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +195,11 @@ def keep_first(docs: DataFrame, width: int = 3, budget: int = 2, carry: Sequence
 
     Rows equal in id and text are one row. A row with a null doc_id goes if its group has an id.
     """
-    rows = staged(grouped(docs, width, budget))
+    return _firsts(docs, staged(grouped(docs, width, budget)), carry)
+
+
+def _firsts(docs: DataFrame, rows: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """doc_id, text and `carried` of the rows that are first of their component, by rows of doc_id, h and component_id."""
     copies = (
         rows.groupBy("doc_id", "h")
         .agg(F.bool_or(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("copy"), F.count(F.lit(1)).alias("n"))
@@ -198,3 +208,120 @@ def keep_first(docs: DataFrame, width: int = 3, budget: int = 2, carry: Sequence
     out = attached(keyed(docs, carry), staged(copies)).where("copy IS NULL OR NOT copy")
     once = out.where("n > 1").dropDuplicates(["doc_id", "h"])
     return out.where("n IS NULL OR n = 1").unionAll(once).select("doc_id", "text", "carried")
+
+
+# --- near duplicates by similarity -------------------------------------------
+
+#: Tables of 32-bit fingerprints, and bits that may differ in one. At a similarity of 0.8 a bit differs in 15 % of pairs,
+#: so a pair is within two bits in 12 % of the tables, and in one of 20 with 92 %; at 0.85 with 99 %.
+TABLES, TABLE_BITS, TABLE_BUDGET = 20, 32, 2
+SIMILARITY, SIMILAR_WIDTH = 0.8, 5
+
+#: Odd constants from which further hashes of a shingle follow.
+_MIX = [int.from_bytes(xxhash.xxh64_digest(b"mix%d" % k), "big") | 1 for k in range(TABLES // 2)]
+
+
+def _words(text: str | None) -> list[str]:
+    return [w for w in (text or "").translate(LOWER).split(" ") if w]
+
+
+def shingle_set(text: str | None, width: int = SIMILAR_WIDTH) -> set[tuple[str, ...]]:
+    """The word shingles of a text; of one with fewer words, all of them; none of one without."""
+    words = _words(text)
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def wide_fingerprint(text: str | None, width: int = SIMILAR_WIDTH) -> list[int]:
+    """SimHashes of 64 bits of the different shingles of a text, under TABLES / 2 hashes."""
+    words = _words(text)
+    if not words:
+        return [0] * len(_MIX)
+    digest = xxhash.xxh64_intdigest
+    grams = {" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+    base = np.array([digest(g, 7) for g in grams], np.uint64)
+    out = []
+    for mix in _MIX:
+        x = (base ^ np.uint64(mix >> 1)) * np.uint64(mix)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        ones = np.zeros(BITS, np.int64)
+        for k in range(0, len(x), CHUNK):
+            ones += np.unpackbits(x[k : k + CHUNK].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        out.append(int.from_bytes(np.packbits(ones * 2 > len(x)).tobytes(), "big", signed=True))
+    return out
+
+
+def similar_pairs(texts: DataFrame, width: int = SIMILAR_WIDTH) -> DataFrame:
+    """a and b: candidates among rows of h and fps, different texts. Each table is a trie that is joined with itself.
+
+    Texts of equal fingerprints in a table meet the first of them, and the first ones of fingerprints within the
+    budget meet along a spanning forest, so a group of n texts costs a table n pairs. A pair that a table
+    does not name for this has the other tables.
+    """
+    half = F.when(F.col("at") % 2 == 0, F.expr("fps[at DIV 2] & -4294967296L")).otherwise(F.expr("shiftleft(fps[at DIV 2], 32)"))
+    spread = texts.select("h", "fps", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("at"))
+    tables = staged(spread.select("h", "at", half.alias("fp")))
+    first = staged(tables.groupBy("at", "fp").agg(F.min("h").alias("first")))
+    equal = tables.join(first, ["at", "fp"]).where("h <> first").select(F.col("h").alias("a"), F.col("first").alias("b"))
+    rows = math.ceil(first.count() / TABLES)
+    near = links(first.select("at", "fp"), TABLE_BUDGET, leaf_rows=1 << 16, by=("at",), rows=rows)
+    ends = [first.select("at", F.col("fp").alias(c), F.col("first").alias(f"{c}_h")) for c in ("a", "b")]
+    near = near.join(ends[0], ["at", "a"]).join(ends[1], ["at", "b"]).select(F.col("a_h").alias("a"), F.col("b_h").alias("b"))
+    both = equal.unionAll(near).where("a <> b")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def alike(pairs: DataFrame, texts: DataFrame, similarity: float, width: int = SIMILAR_WIDTH) -> DataFrame:
+    """The pairs (a, b) of texts (h, text) whose shingle sets have at least the similarity; wordless texts are alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, right = None, set()
+        for batch in batches:
+            b, kept = batch.column(1).to_pylist(), []
+            for k in range(len(b)):
+                if b[k] != last:
+                    last, right = b[k], shingle_set(batch.column(3)[k].as_py(), width)
+                left = shingle_set(batch.column(2)[k].as_py(), width)
+                common = len(left & right)
+                if common >= similarity * (len(left) + len(right) - common):
+                    kept.append(k)
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(kept, pa.int64())) for c in batch.columns[:2]], ["a", "b"])
+
+    both = (
+        pairs.join(texts.select(F.col("h").alias("a"), F.col("text").alias("left")), "a")
+        .join(texts.select(F.col("h").alias("b"), F.col("text").alias("right")), "b")
+        .select("a", "b", "left", "right")
+    )
+    return both.mapInArrow(run, "a long, b long")
+
+
+def grouped_by_similarity(docs: DataFrame, similarity: float = SIMILARITY, width: int = SIMILAR_WIDTH) -> DataFrame:
+    """doc_id, h and component_id of every row: texts link whose word shingles have at least the similarity (Jaccard).
+
+    Candidates come from `similar_pairs`, which at 0.8 names 92 % of pairs and more above, and each is compared exactly, so
+    no unlike texts link by accident. Component ids are smallest doc_ids; a component without any has null.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = [wide_fingerprint(x.as_py(), width) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64()))], ["h", "fps"])
+
+    rows = keyed(docs)
+    marked = rows.select("h", "text").mapInArrow(run, "h long, fps array<long>")
+    pairs = staged(similar_pairs(staged(marked.groupBy("h").agg(F.first("fps").alias("fps"))), width))
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    likely = marked_by(rows.select("h", "text"), "h", needed).where("marked").select("h", "text")
+    texts = staged(likely.dropDuplicates(["h"]).join(needed, "h", "left_semi"))
+    joined = components(staged(alike(pairs, texts, similarity, width)))
+    told = staged(rows.select("doc_id", "h").join(joined.withColumnRenamed("node", "h"), "h", "left"))
+    group = F.coalesce("component", "h")
+    least = staged(told.groupBy(group.alias("component")).agg(F.min("doc_id").alias("component_id")))
+    return told.select("doc_id", "h", group.alias("component")).join(least, "component").select("doc_id", "h", "component_id")
+
+
+def keep_first_similar(
+    docs: DataFrame, similarity: float = SIMILARITY, width: int = SIMILAR_WIDTH, carry: Sequence[str] = ()
+) -> DataFrame:
+    """As `keep_first`, for groups of texts alike by their word shingles."""
+    return _firsts(docs, staged(grouped_by_similarity(docs, similarity, width)), carry)
