@@ -4,14 +4,19 @@ A page is cut into blocks (what stands between block-level tags); a block's path
 elements around it, from the root. Per path, text length and punctuation per block are its ratios: articles
 have long, punctuated blocks on few paths, menus and notices short ones on others. Both ratios are smoothed
 over neighbouring blocks, fused to one score, and paths below a share of the best score are left out; so a
-short paragraph stays by the company it keeps. Elements that say what they are (navigation, footers,
-forms, adverts, comments and so on, by name, role, class or id) are left out from the start.
+short paragraph stays by the company it keeps. Paths through elements whose class, id or role names something else
+(a sidebar, comments, an advert) have their score lowered: such a path loses against an article, but on a page
+where all text lies below such an element, it is the best there is. Elements that HTML itself has for
+menus, footers, forms, scripts and the like are no text from the start.
+
+A path is a node of a trie that grows with the open elements, so a page costs its length, however deep it nests.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -30,13 +35,12 @@ INLINE = {
     "tt", "u", "var", "wbr", "img", "nobr",
 }
 VOID = {"area", "base", "br", "col", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr", "frame"}
-HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Start tags that end an open element of these names.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"}, "body": {"head"},
 }
-#: Words in class, id or role that name what is not main text.
+#: Words in class, id or role that name what is not main text. They weigh, and decide nothing by themselves.
 HINTS = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo",
     "promotion", "banner", "sidebar", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer",
@@ -46,6 +50,17 @@ HINTS = {
     "disclaimer", "contentinfo", "complementary", "search", "skip", "alert", "hidden",
 }
 
+#: Words that say in which way or where another one is: they name nothing by themselves.
+PLAIN = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "div", "global", "group",
+    "inner", "item", "items", "left", "links", "list", "main", "outer", "page", "panel", "primary", "reader", "right",
+    "section", "site", "text", "top", "user", "wrap", "wrapper",
+}
+#: A class that begins with one of these tells what an element has or is not.
+OF_OTHERS = {"with", "without", "no", "has", "not", "is"}
+#: Scores are multiplied by these if a class consists of words that name something else, or holds such a word among others.
+NAMED, TOUCHED = 0.05, 0.6
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -64,17 +79,34 @@ KERNEL = (1.0, 0.6, 0.14)
 
 
 class Block:
-    __slots__ = ("heading", "link", "path", "text")
+    __slots__ = ("link", "path", "text")
+
+    def __init__(self, path: Path, text: str, link: int):
+        self.path, self.text, self.link = path, text, link
+
 
-    def __init__(self, path: tuple[str, ...], text: str, link: int, heading: bool):
-        self.path, self.text, self.link, self.heading = path, text, link, heading
+class Path:
+    """A node of the trie of paths: what is above it is in what it inherits."""
+
+    __slots__ = ("below", "marked", "weight")
+
+    def __init__(self, marked: bool = False, weight: float = 1.0):
+        self.below: dict[tuple[str, float], Path] = {}
+        self.marked, self.weight = marked, weight
+
+    def child(self, name: str, weight: float) -> Path:
+        key = (name, weight)
+        if key not in self.below:
+            self.below[key] = Path(self.marked or name in ("article", "main"), min(self.weight, weight))
+        return self.below[key]
 
 
 def blocks(page: str) -> list[Block]:
-    """Blocks of text in page order, without those in elements that are left out from the start."""
+    """Blocks of text in page order, without those in elements that are no text from the start."""
     out: list[Block] = []
-    # Open elements: name, whether left out, whether an article or main element is around.
-    stack: list[tuple[str, bool, bool]] = []
+    # Open elements: name, whether left out, path.
+    stack: list[tuple[str, bool, Path]] = [("", False, Path())]
+    open_: Counter[str] = Counter()
     pieces: list[str] = []
     link = 0
 
@@ -82,14 +114,16 @@ def blocks(page: str) -> list[Block]:
         nonlocal link
         text = SPACE.sub(" ", "".join(pieces)).strip()
         if text:
-            path = tuple(x[0] for x in stack if x[0] not in INLINE)
-            out.append(Block(path, text, link, any(x in HEADINGS for x in path)))
+            out.append(Block(stack[-1][2], text, link))
         pieces.clear()
         link = 0
 
     def pop_to(names: set[str], stop: set[str] = frozenset()) -> None:
-        for k in range(len(stack) - 1, -1, -1):
+        if not any(open_[x] for x in names):
+            return
+        for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in names:
+                open_.subtract(x[0] for x in stack[k:])
                 del stack[k:]
                 return
             if stack[k][0] in stop:
@@ -97,10 +131,10 @@ def blocks(page: str) -> list[Block]:
 
     def say(text: str) -> None:
         nonlocal link
-        if text and not (stack and stack[-1][1]):
+        if text and not stack[-1][1]:
             text = unescape(text) if "&" in text else text
             pieces.append(text)
-            if any(x[0] == "a" for x in stack):
+            if open_["a"]:
                 link += len(text.strip())
 
     at, n = 0, len(page)
@@ -121,8 +155,7 @@ def blocks(page: str) -> list[Block]:
         if name not in INLINE:
             flush()
         if ending:
-            if any(x[0] == name for x in stack):
-                pop_to({name})
+            pop_to({name})
             continue
         if name not in INLINE:
             # A block ends the paragraph that it begins in, whatever inline elements are open there.
@@ -130,42 +163,49 @@ def blocks(page: str) -> list[Block]:
             if name in ENDS:
                 pop_to(ENDS[name], {"ul", "ol", "dl", "table", "article", "select"} - ENDS[name])
         attrs = m["attrs"] or m["attrs2"] or ""
-        inside = bool(stack and stack[-1][2]) or name in ("article", "main")
-        left_out = bool(stack and stack[-1][1]) or name in DROPPED or (bool(attrs.strip()) and hinted(name, attrs, inside))
-        if name == "header" and not inside:
-            left_out = True
+        _, left_out, path = stack[-1]
+        inside = path.marked or name in ("article", "main")
+        hidden, weight = hints(name, attrs, inside) if attrs.strip() else (False, 1.0)
+        left_out = left_out or name in DROPPED or hidden or (name == "header" and not inside)
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
             at = close.start() if close else n
         if name not in VOID and not attrs.rstrip().endswith("/"):
-            stack.append((name, left_out, inside))
+            # Inline elements are no part of the path, but what they are called still tells.
+            path = path if name in INLINE and weight == 1.0 else path.child("" if name in INLINE else name, weight)
+            stack.append((name, left_out, path))
+            open_[name] += 1
     flush()
     return out
 
 
-def hinted(name: str, attrs: str, inside: bool) -> bool:
-    """Whether class, id, role or visibility tell that an element is no main text."""
+def hints(name: str, attrs: str, inside: bool) -> tuple[bool, float]:
+    """Whether an element is not shown, and the weight that its class, id and role give to its text."""
     if name in ("html", "body", "article", "main"):
-        return False
+        return False, 1.0
+    weight = 1.0
+    named = HINTS - {"header"} if inside else HINTS
     for key, *values in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), "".join(values)
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, 1.0
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        else:
-            words = {w.lower() for w in PARTS.findall(value)}
-            if words & (HINTS - {"header"} if inside else HINTS):
-                return True
-    return False
+                return True, 1.0
+            continue
+        for word in value.split():
+            parts = [w.lower() for w in PARTS.findall(word)]
+            if not parts or parts[0] in OF_OTHERS or not named.intersection(parts):
+                continue
+            weight = min(weight, NAMED if named.union(PLAIN).issuperset(parts) else TOUCHED)
+    return False, weight
 
 
-def selected(found: list[Block]) -> list[Block]:
+def selected(found: list[Block], share: float = SHARE) -> list[Block]:
     """The blocks on paths whose smoothed, fused ratios reach a share of the best."""
     if not found:
         return []
-    total: dict[tuple[str, ...], list[float]] = {}
+    total: dict[Path, list[float]] = {}
     for b in found:
         t = total.setdefault(b.path, [0, 0, 0, 0])
         t[0] += 1
@@ -174,20 +214,18 @@ def selected(found: list[Block]) -> list[Block]:
         t[3] += b.link
     lengths = _smooth([total[b.path][1] / total[b.path][0] for b in found])
     marks = _smooth([total[b.path][2] / total[b.path][0] for b in found])
-    score: dict[tuple[str, ...], list[float]] = {}
+    score: dict[Path, list[float]] = {}
     for b, length, mark in zip(found, lengths, marks, strict=True):
         linked = total[b.path][3] / max(1, total[b.path][1])
-        fused = math.log1p(length) * (1 + math.log1p(mark)) * (1 - linked)
-        if "article" in b.path or "main" in b.path:
-            fused *= 2
-        score.setdefault(b.path, []).append(fused)
+        fused = math.log1p(length) * (1 + math.log1p(mark)) * (1 - linked) * b.path.weight
+        score.setdefault(b.path, []).append(fused * 2 if b.path.marked else fused)
     mean = {p: sum(x) / len(x) for p, x in score.items()}
     best = max(mean.values())
-    kept = {p for p, x in mean.items() if x >= SHARE * best and total[p][3] * 2 <= total[p][1]}
-    # Where an article is marked as such and holds main text, what stands outside it does not belong to it.
-    marked = {p for p in kept if "article" in p or "main" in p}
-    if marked:
-        kept = marked
+    kept = {p for p, x in mean.items() if x >= share * best and total[p][3] * 2 <= total[p][1]}
+    # Where most main text stands in what is marked as an article, what stands outside does not belong to it.
+    marked = {p for p in kept if p.marked}
+    if 2 * sum(total[p][1] for p in marked) >= sum(total[p][1] for p in kept):
+        kept = marked or kept
     return [b for b in found if b.path in kept]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -316,9 +317,50 @@ PAGES = [
     ("<<< not & a <page", None),
     ("<article><p>" + "word, " * 50_000, "word, " * 49_999 + "word,"),
     ("<article><p>" + "<div>" * 3000 + ARTICLE, ARTICLE),
+    (f'<div class="content with-sidebar"><p>{ARTICLE}</p><p>{ARTICLE}</p></div>', f"{ARTICLE}\n\n{ARTICLE}"),
+    (f'<div class="no-header single"><p>{ARTICLE}</div>', ARTICLE),
+    (f'<section class="entry social-policy"><p>{ARTICLE}</section>', ARTICLE),
+    (f'<div class="search-results-article"><p>{ARTICLE}</div>', ARTICLE),
+    (f"<div><article><p>Next: more.</article><p>{ARTICLE}</p><p>{ARTICLE} {ARTICLE}</p></div>", f"Next: more.\n\n{ARTICLE}\n\n{ARTICLE} {ARTICLE}"),
+    (f'<div class="sidebar"><p>{ARTICLE}</div>', ARTICLE),  # all there is
+    (f'<div><p>{ARTICLE}</p><p>{ARTICLE}</p></div><div class="reader-comments"><p>{ARTICLE} I agree, really.</p></div>', f"{ARTICLE}\n\n{ARTICLE}"),
+    (f"<div><div><p>{ARTICLE}</p><p>{ARTICLE}</p></div><ul>{'<li>News' * 9}</ul></div>", f"{ARTICLE}\n\n{ARTICLE}"),
+    (f"<div><p>{ARTICLE}</p><p>{ARTICLE}</p></div><div><span><a href=x>One, two, three.</a></span></div>", f"{ARTICLE}\n\n{ARTICLE}"),
 ]
 
 
+def test_ratios_decide():
+    """With the threshold off, what has few characters and marks comes out too."""
+    for page, expected in PAGES[-3:]:
+        found = html_paths.blocks(page)
+        assert "\n\n".join(b.text for b in html_paths.selected(found)) == expected
+        assert len(html_paths.selected(found, share=0.0)) >= len(html_paths.selected(found))
+    menu, comments = html_paths.blocks(PAGES[-2][0]), html_paths.blocks(PAGES[-3][0])
+    assert len(html_paths.selected(menu, share=0.0)) == 11 and len(html_paths.selected(comments, share=0.0)) == 3
+
+
+@pytest.mark.parametrize("piece", ["<div>word word. ", "<p><b>word word. ", "<table><tr><td>word, ", "<span class=x>word ", "</p><li>word "])
+def test_deep_nesting_costs_its_length(piece):
+    start = time.monotonic()
+    assert "word" in html_paths.main_text(piece * (1_000_000 // len(piece)))
+    assert time.monotonic() - start < 30
+
+
+@needs_tables
+def test_pages_without_markers(spark):
+    """The article element may be missing, and telling classes nearly always may: paths give the same text."""
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    names = r"(?i)\s(class|id|role)=(\"[^\"]*\"|'[^']*'|[^\s>]*)"
+    plain = lambda x: re.sub(r"(?i)<(/?)(?:article|main)\b[^>]*>", r"<\1div>", x)
+    unnamed = 0
+    for page in pages:
+        text, found = html_paths.main_text(page), html_paths.blocks(plain(page))
+        assert html_paths.main_text(plain(page)) == text
+        assert len(html_paths.selected(found, share=0.0)) > len(html_paths.selected(found))
+        unnamed += html_paths.main_text(re.sub(names, "", page)) == text
+    assert unnamed >= 0.95 * len(pages)
+
+
 @pytest.mark.parametrize("k", range(len(PAGES)))
 def test_main_text(k):
     page, expected = PAGES[k]
@@ -339,7 +381,6 @@ def test_extract(spark):
 @needs_tables
 def test_pages_of_the_table(spark):
     """Every paragraph of the article, and nothing of the menu, the advert or the footer."""
-    import re
     from html import unescape
 
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
@@ -370,9 +411,10 @@ def test_pipeline_stages(spark, tmp_path):
     rows = [(r.doc_id, r.text) for r in quality.collect()]
     expected = Counter({k: n for k, n in brute_lines(rows).items() if k[1] or dict(rows)[k[0]] == k[1]})
     assert Counter((r.doc_id, r.text) for r in lines.collect()) == expected
-    fps = {r.doc_id: brute_fingerprint(r.text) for r in lines.collect()}
-    ids = sorted(fps)
-    near = [(i, j) for i in range(len(ids)) for j in range(i) if (fps[ids[i]] ^ fps[ids[j]]).bit_count() <= 2]
+    sets = {r.doc_id: simhash_trie.shingle_set(r.text) for r in lines.collect()}
+    ids = sorted(sets)
+    pairs = [(i, j, sets[ids[i]], sets[ids[j]]) for i in range(len(ids)) for j in range(i)]
+    near = [(i, j) for i, j, x, y in pairs if len(x & y) >= 0.8 * len(x | y)]
     assert {r.doc_id for r in unique.collect()} == {ids[g] for g in grouped(len(ids), near)}
     assert redacted.count() == unique.count() and all(r.n_chars == len(r.text) for r in redacted.collect())
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in redacted.collect()}
