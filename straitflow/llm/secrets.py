@@ -139,7 +139,7 @@ def spans_of(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
     texts = texts.withColumn("h", F.xxhash64("text"))
     return (
-        linked(matches(texts), scope)
+        linked(staged(matches(texts)), scope)
         .groupBy("doc_id", "h")
         .agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("found"))
     )
