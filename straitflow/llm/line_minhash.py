@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from straitflow.llm.shared import attached, components, keyed, marked_by, staged
+from straitflow.llm.shared import attached, components, give_back, keyed, marked_by, staged
 
 #: Characters of a shingle, and so of the shortest line that is looked at for more than copies.
 SHINGLE = 8
@@ -123,6 +123,7 @@ def signatures(lines: DataFrame) -> DataFrame:
             keys = band_keys(codes, np.cumsum(pc.utf8_length(text).to_numpy().astype(np.int64)))
             listed = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), BANDS).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, listed], ["id", "keys"])
+        give_back()
 
     long = lines.select("id", "line").where(F.char_length("line") >= SHINGLE)
     # Equal lines have equal keys.
@@ -164,6 +165,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
                 if common >= similarity * (len(left) + len(right) - common):
                     kept.append(k)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(kept, pa.int64())) for c in batch.columns[:2]], ["a", "b"])
+        give_back()
 
     both = (
         pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("left")), "a")

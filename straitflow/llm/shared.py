@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,20 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sends whole texts to the Python workers in small batches, unless the session has a setting of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":  # Spark's default
+        spark.conf.set(name, str(rows))
+
+
+def give_back() -> None:
+    """Returns what a worker has freed to the system: workers live on, beside others and the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # elsewhere than on glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def staged(frame: DataFrame) -> DataFrame:
     """The frame, computed once and kept in the folder of spark.checkpoint.dir, so that it outlives executors."""
     scratch_root(frame.sparkSession)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from straitflow.llm.shared import attached, components, keyed, marked_by, staged
+from straitflow.llm.shared import attached, components, give_back, keyed, marked_by, staged
 
 BITS = 64
 #: Fixed value: A-Z to a-z, and the white space that ends a word.
@@ -92,6 +92,7 @@ def links(distinct: DataFrame, budget: int = 2, leaf_rows: int = 4096, by: Seque
             right = group.column("right").to_numpy(zero_copy_only=False)
             a, b = np.sort(fps[~right]), np.sort(fps[right])
         u, v = forest(a, b, depth, (low ^ high).bit_count(), budget)
+        give_back()
         keys = {c: pa.array([group.column(c)[0].as_py()] * len(u), group.schema.field(c).type) for c in by}
         return pa.table({**keys, "a": u.view(np.int64), "b": v.view(np.int64)})
 
@@ -286,6 +287,7 @@ def alike(pairs: DataFrame, texts: DataFrame, similarity: float, width: int = SI
                 if common >= similarity * (len(left) + len(right) - common):
                     kept.append(k)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(kept, pa.int64())) for c in batch.columns[:2]], ["a", "b"])
+        give_back()
 
     both = (
         pairs.join(texts.select(F.col("h").alias("a"), F.col("text").alias("left")), "a")
@@ -306,6 +308,7 @@ def grouped_by_similarity(docs: DataFrame, similarity: float = SIMILARITY, width
         for batch in batches:
             fps = [wide_fingerprint(x.as_py(), width) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64()))], ["h", "fps"])
+        give_back()
 
     rows = keyed(docs)
     marked = rows.select("h", "text").mapInArrow(run, "h long, fps array<long>")
