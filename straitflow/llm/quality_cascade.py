@@ -151,9 +151,10 @@ def ordered_rules(
     """
     share = max(1, measured.count() // (2 * sample_rows))
     drawn = measured.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0)
-    if failed is not None:
-        drawn = drawn.where(~failed)
-    drawn = staged(drawn.select("doc_id", "text").limit(sample_rows).repartition(SAMPLE_TASKS))
+    # As a column, and not as a filter: pushed down, a filter would spell the counts out again and again.
+    gone = F.lit(False) if failed is None else failed
+    drawn = drawn.select("doc_id", "text", gone.alias("failed")).limit(sample_rows).repartition(SAMPLE_TASKS)
+    drawn = staged(drawn).where("NOT failed")
     if drawn.isEmpty():
         return rules
     costs = rule_costs(measure(drawn), rules)
