@@ -417,9 +417,9 @@ _BODIES = {
                count(CASE WHEN role = 'validation' THEN 1 END) AS validation_rows, true AS is_share
         FROM (SELECT k AS fold,
                      CASE WHEN i >= n * k // 4 AND i < n * (k + 1) // 4 THEN 'validation' WHEN i < n * k // 4 - 5 THEN 'train' END AS role
-              FROM features f
+              FROM complete f
               JOIN (SELECT event_date, row_number() OVER (ORDER BY event_date) - 1 AS i, count(*) OVER () AS n
-                    FROM (SELECT DISTINCT event_date FROM features)) d ON f.event_date = d.event_date,
+                    FROM (SELECT DISTINCT event_date FROM complete)) d ON f.event_date = d.event_date,
                    (SELECT unnest(range(1, 4)) AS k)), (VALUES (3), (5)) AS g(max_depth)
         GROUP BY 1, 2, 3""",
     "ingest_quarantine": """

@@ -843,8 +843,8 @@ def walk_forward_folds(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def walk_forward_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Grid points by fold: rows trained on and judged by, and whether the scores are shares."""
-    table = _written_features(spark, d)
+    """Grid points by fold over all boxes: rows trained on and judged by, and whether the scores are shares."""
+    table = staged(_features(spark, d, ALL_BOXES), "features")
     scores = training.walk_forward_scores(spark, table, trees=(20,), depths=(3, 5))
     shares = F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1)
     return scores.select("num_trees", "max_depth", "fold", "train_rows", "validation_rows", shares.alias("is_share"))
