@@ -189,14 +189,36 @@ def tag_by_quadtree(events: DataFrame, boxes: DataFrame, crowd: int = 64, work:
     null or NaN coordinates match nothing; a box given twice counts twice.
     """
     groups = staged(box_groups(boxes), "boxes")
-    places = with_places(events)
+    found = _inside(with_places(events), groups, ["names"], crowd, work, splits)
+    return found.select("_event.*", F.explode("box.names.name").alias("chokepoint"))
+
+
+def _inside(places: DataFrame, groups: DataFrame, carry: list[str], crowd: int, work: int, splits: int) -> DataFrame:
+    """Points (`_event`, `_x`, `_y`) next to each box group that contains them, a struct `box` of its edges and `carry`."""
     entries = cover(places.select("_x", "_y"), groups, crowd, work, splits)
-    # Edges and names ride with the cells, so that a pair is decided where it is found.
-    box = F.struct("lat_min", "lat_max", "lon_min", "lon_max", "names").alias("box")
+    # Edges ride with the cells, so that a pair is decided where it is found.
+    box = F.struct("lat_min", "lat_max", "lon_min", "lon_max", *carry).alias("box")
     near = candidates(places, entries.join(groups, "box").select("level", "cx", "cy", "whole", box))
     inside = (
         F.col("whole")
         | F.col(f"_event.{LAT}").between(F.col("box.lat_min"), F.col("box.lat_max"))
         & F.col(f"_event.{LON}").between(F.col("box.lon_min"), F.col("box.lon_max"))
     )
-    return near.filter(inside).select("_event.*", F.explode("box.names.name").alias("chokepoint"))
+    return near.filter(inside)
+
+
+def count_by_quadtree(events: DataFrame, boxes: DataFrame, crowd: int = 64, work: int = 100_000, splits: int = 4) -> DataFrame:
+    """name and event_count: the rows of `tag_by_quadtree` by chokepoint, without making them.
+
+    Events of equal coordinates are one point with a count, and boxes of equal edges one box; pairs of these are
+    summed to boxes, and only the sums meet the names. So events at a place and names of a box add up, where their
+    rows would multiply.
+    """
+    edges = ["lat_min", "lat_max", "lon_min", "lon_max"]
+    groups = staged(box_groups(boxes), "boxes")
+    known = events.filter(_usable(LAT) & _usable(LON))
+    spots = known.groupBy(LAT, LON).agg(F.count("*").alias("_n"))
+    found = _inside(staged(with_places(spots), "spots"), groups.drop("names"), [], crowd, work, splits)
+    sums = found.groupBy(*[F.col(f"box.{c}").alias(c) for c in edges]).agg(F.sum("_event._n").alias("n"))
+    named = groups.join(staged(sums, "box-counts"), edges).select(F.explode("names.name").alias("name"), "n")
+    return named.groupBy("name").agg(F.sum("n").alias("event_count"))

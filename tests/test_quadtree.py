@@ -93,3 +93,24 @@ def test_a_hundred_thousand_boxes(spark):
         entries.unpersist()
     tagged = quadtree.tag_by_quadtree(frame, table).groupBy("id").count().collect()
     assert {r.id: r["count"] for r in tagged} == {i: k for i, k in enumerate(inside.tolist()) if k}
+
+
+def test_counts_equal_those_of_the_tags(spark):
+    rng = random.Random(5)
+    points = [(rng.choice([26.5, rng.uniform(20, 30)]), rng.choice([56.0, rng.uniform(50, 60)])) for _ in range(200)]
+    points += [points[0]] * 5 + [(None, 1.0), (float("nan"), 0.0), (-0.0, 0.0), (0.0, -0.0)]
+    boxes = [(f"b{i % 25}", lat - 1, lat + i, lon - 2, lon) for i, (lat, lon) in enumerate(points[:40])]
+    boxes += [boxes[0], (None, 20.0, 30.0, 50.0, 60.0), ("zero", 0.0, 0.0, 0.0, 0.0), ("none", 70.0, 71.0, 0.0, 1.0)]
+    found = quadtree.count_by_quadtree(points_frame(spark, points), spark.createDataFrame(boxes, BOXES), 2, 1)
+    assert found.columns == ["name", "event_count"]
+    want = {}
+    for _, name in slow_tags(points, boxes):
+        want[name] = want.get(name, 0) + 1
+    assert {r.name: r.event_count for r in found.collect()} == want
+
+
+def test_events_at_a_place_and_names_of_a_box_are_not_multiplied(spark):
+    place = spark.range(200_000).selectExpr("id", "26.5D AS ActionGeo_Lat", "56D AS ActionGeo_Long")
+    boxes = spark.range(50_000).selectExpr("concat('b', id) AS name", "26D AS lat_min", "27D AS lat_max", "55D AS lon_min", "57D AS lon_max")
+    found = quadtree.count_by_quadtree(place, boxes).agg(F.count("*"), F.min("event_count"), F.max("event_count"))
+    assert tuple(found.first()) == (50_000, 200_000, 200_000)  # of 10**10 tags
