@@ -218,6 +218,12 @@ def _firsts(docs: DataFrame, rows: DataFrame, carry: Sequence[str]) -> DataFrame
 TABLES, TABLE_BITS, TABLE_BUDGET = 20, 32, 2
 SIMILARITY, SIMILAR_WIDTH = 0.8, 5
 
+#: 64-bit words of a text's sketch, and texts of a block of a bucket.
+SKETCH_WORDS, BLOCK = 16, 1024
+
+#: Texts that are looked at for common shingles, and how often and how many of these are told apart. Only time depends on them.
+SAMPLED, OFTEN, MOST = 20_000, 4, 1 << 16
+
 #: Odd constants from which further hashes of a shingle follow.
 _MIX = [int.from_bytes(xxhash.xxh64_digest(b"mix%d" % k), "big") | 1 for k in range(TABLES // 2)]
 
@@ -232,14 +238,21 @@ def shingle_set(text: str | None, width: int = SIMILAR_WIDTH) -> set[tuple[str,
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
 
 
+def shingle_hashes(text: str | None, width: int = SIMILAR_WIDTH) -> np.ndarray:
+    """64-bit hashes of the different shingles of a text."""
+    words, digest = _words(text), xxhash.xxh64_intdigest
+    grams = {" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else ()
+    return np.array([digest(g, 7) for g in grams], np.uint64)
+
+
 def wide_fingerprint(text: str | None, width: int = SIMILAR_WIDTH) -> list[int]:
     """SimHashes of 64 bits of the different shingles of a text, under TABLES / 2 hashes."""
-    words = _words(text)
-    if not words:
+    return _wide(shingle_hashes(text, width))
+
+
+def _wide(base: np.ndarray) -> list[int]:
+    if not len(base):
         return [0] * len(_MIX)
-    digest = xxhash.xxh64_intdigest
-    grams = {" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
-    base = np.array([digest(g, 7) for g in grams], np.uint64)
     out = []
     for mix in _MIX:
         x = (base ^ np.uint64(mix >> 1)) * np.uint64(mix)
@@ -252,6 +265,27 @@ def wide_fingerprint(text: str | None, width: int = SIMILAR_WIDTH) -> list[int]:
     return out
 
 
+def prefix(base: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles of a text in one order for all texts, so many that two texts of the similarity share one.
+
+    They have at least `similarity` of the shingles of either in common, so no more than the rest can come before the first
+    common one. Shingles known as common (sorted, and their counts) come last, by their counts; any order is right.
+    """
+    known, counts = common
+    rank = np.zeros(len(base), np.int64)
+    if len(known):
+        at = np.searchsorted(known, base).clip(max=len(known) - 1)
+        rank = np.where(known[at] == base, counts[at], 0)
+    first = len(base) - math.ceil(similarity * len(base) - 1e-6) + 1
+    return base[np.lexsort((base, rank))[:first]]
+
+
+def parity_sketch(base: np.ndarray) -> np.ndarray:
+    """Bit k of SKETCH_WORDS words is the parity of the shingles whose hash falls on it."""
+    bits = np.bincount((base & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def similar_pairs(texts: DataFrame, width: int = SIMILAR_WIDTH) -> DataFrame:
     """a and b: candidates among rows of h and fps, different texts. Each table is a trie that is joined with itself.
 
@@ -272,6 +306,52 @@ def similar_pairs(texts: DataFrame, width: int = SIMILAR_WIDTH) -> DataFrame:
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def common_shingles(rows: DataFrame, width: int = SIMILAR_WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the shingles that many of a bounded sample of texts have; they only set an order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(x.as_py(), width).view(np.int64))], ["x"])
+
+    every = max(1, rows.count() // SAMPLED)
+    sample = rows.where(F.pmod("h", F.lit(every)) == 0).select("text").mapInArrow(run, "x long")
+    found = sample.groupBy("x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "x").limit(MOST)
+    got = found.collect()
+    known = np.array([r.x for r in got], np.int64).view(np.uint64)
+    order = np.argsort(known)
+    return known[order], np.array([r.n for r in got], np.int64)[order]
+
+
+def missed_pairs(texts: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """a and b: all pairs of texts (h, size, keys, sketch) in different groups that may have the similarity.
+
+    Texts of the similarity share a key of `prefix`, so no pair is left out; those of sizes too far apart, or with sketches that
+    differ in more bits than their sets may in shingles, cannot have it. Only keys that two groups have get their members.
+    A bucket is cut into blocks and a task gets a pair of blocks, so none gets a whole large bucket.
+    """
+    told = texts.join(groups.withColumnRenamed("node", "h"), "h", "left").withColumn("g", F.coalesce("component", "h"))
+    spread = told.select("h", "g", F.explode("keys").alias("key"))
+    crossing = spread.groupBy("key").agg(F.min("g").alias("least"), F.max("g").alias("most"), F.count(F.lit(1)).alias("n"))
+    crossing = staged(crossing.where("least <> most").select("key", "n"))
+    members = marked_by(spread, "key", crossing.select("key")).where("marked").select("h", "g", "key").join(crossing, "key")
+    sketched = texts.select("h", "size", *[F.col("sketch")[k].alias(f"w{k}") for k in range(SKETCH_WORDS)])
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = staged(members).join(sketched, "h").withColumn("own", F.pmod(F.hash("h"), blocks)).withColumn("last", blocks - 1)
+    kept = ["key", "h", "g", "size", *[f"w{k}" for k in range(SKETCH_WORDS)]]
+    low = rows.select(*kept, F.col("own").alias("i"), F.explode(F.sequence("own", "last")).alias("j")).alias("x")
+    high = rows.select(*kept, F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j")).alias("y")
+    differing = sum((F.bit_count(F.col(f"x.w{k}").bitwiseXOR(F.col(f"y.w{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
+    sizes = F.col("x.size"), F.col("y.size")
+    possible = (differing <= (1 - similarity) / (1 + similarity) * (sizes[0] + sizes[1]) + 1e-6) & (
+        F.least(*sizes) >= similarity * F.greatest(*sizes) - 1e-6
+    )
+    once = (F.col("x.i") < F.col("x.j")) | (F.col("x.h") < F.col("y.h"))
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "i", "j")]
+    found = low.join(high, [*same, F.col("x.g") != F.col("y.g"), once, possible])
+    return found.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct()
+
+
 def alike(pairs: DataFrame, texts: DataFrame, similarity: float, width: int = SIMILAR_WIDTH) -> DataFrame:
     """The pairs (a, b) of texts (h, text) whose shingle sets have at least the similarity; wordless texts are alike."""
 
@@ -300,23 +380,38 @@ def alike(pairs: DataFrame, texts: DataFrame, similarity: float, width: int = SI
 def grouped_by_similarity(docs: DataFrame, similarity: float = SIMILARITY, width: int = SIMILAR_WIDTH) -> DataFrame:
     """doc_id, h and component_id of every row: texts link whose word shingles have at least the similarity (Jaccard).
 
-    Candidates come from `similar_pairs`, which at 0.8 names 92 % of pairs and more above, and each is compared exactly, so
-    no unlike texts link by accident. Component ids are smallest doc_ids; a component without any has null.
+    Most links come from `similar_pairs`, the rest of those between two groups from `missed_pairs`, and each pair is compared
+    exactly; so groups are those of all pairs, and no unlike texts link by accident. Component ids are smallest
+    doc_ids; a component without any has null.
     """
+    rows = keyed(docs)
+    common = common_shingles(rows, width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [wide_fingerprint(x.as_py(), width) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64()))], ["h", "fps"])
+            bases = [shingle_hashes(x.as_py(), width) for x in batch.column(1)]
+            keys = [prefix(x, common, similarity).view(np.int64) for x in bases]
+            columns = [[_wide(x) for x in bases], keys, [parity_sketch(x) for x in bases]]
+            lists = [pa.array(c, pa.list_(pa.int64())) for c in columns]
+            sizes = pa.array([len(x) for x in bases], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, *lists], ["h", "size", "fps", "keys", "sketch"])
         give_back()
 
-    rows = keyed(docs)
-    marked = rows.select("h", "text").mapInArrow(run, "h long, fps array<long>")
-    pairs = staged(similar_pairs(staged(marked.groupBy("h").agg(F.first("fps").alias("fps"))), width))
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    likely = marked_by(rows.select("h", "text"), "h", needed).where("marked").select("h", "text")
-    texts = staged(likely.dropDuplicates(["h"]).join(needed, "h", "left_semi"))
-    joined = components(staged(alike(pairs, texts, similarity, width)))
+    def likely(pairs: DataFrame) -> DataFrame:
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+        found = marked_by(rows.select("h", "text"), "h", needed).where("marked").select("h", "text")
+        return staged(found.dropDuplicates(["h"]).join(needed, "h", "left_semi"))
+
+    marked = rows.select("h", "text").mapInArrow(run, "h long, size long, fps array<long>, keys array<long>, sketch array<long>")
+    firsts = [F.first(c).alias(c) for c in ("size", "fps", "keys", "sketch")]
+    texts = staged(marked.groupBy("h").agg(*firsts))
+    pairs = staged(similar_pairs(texts, width))
+    joined = staged(components(staged(alike(pairs, likely(pairs), similarity, width))))
+    rest = staged(missed_pairs(texts, joined, similarity).join(pairs, ["a", "b"], "left_anti"))
+    more = staged(alike(rest, likely(rest), similarity, width))
+    if not more.isEmpty():
+        stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
+        joined = components(stars.unionAll(more))
     told = staged(rows.select("doc_id", "h").join(joined.withColumnRenamed("node", "h"), "h", "left"))
     group = F.coalesce("component", "h")
     least = staged(told.groupBy(group.alias("component")).agg(F.min("doc_id").alias("component_id")))

@@ -90,3 +90,32 @@ def test_many_copies_cost_a_pair_each(spark):
     pairs = simhash_trie.similar_pairs(spark.createDataFrame(fps, "h long, fps array<long>"))
     assert 799 <= pairs.count() <= 800 * simhash_trie.TABLES
     assert pairs.where(F.col("a") >= F.col("b")).count() == 0
+
+
+@pytest.mark.parametrize("often", [4, 1])
+def test_no_pair_that_meets_the_threshold_is_left_out(spark, often, monkeypatch):
+    """Pairs of texts just alike enough, and others just not, beside a passage that all texts have."""
+    monkeypatch.setattr(simhash_trie, "OFTEN", often)
+    rng, passage = random.Random(11), [f"p{i}" for i in range(10)]
+    texts, links = [], 0
+    for k in range(300):
+        common, own = 60 + k % 40, 3 + k % 9  # words, and words at the end that the two do not share
+        base = [*passage, *(f"w{k}x{i}" for i in range(common))]
+        texts += [" ".join([*base, *(f"{side}{k}x{i}" for i in range(own))]) for side in "lr"]
+        links += similarity(*texts[-2:]) >= 0.8
+    low = [similarity(texts[2 * k], texts[2 * k + 1]) for k in range(300)]
+    assert links > 150 and sum(0.8 <= x < 0.84 for x in low) > 30 and min(low) < 0.8
+    rng.shuffle(order := list(range(600)))
+    docs = spark.createDataFrame([(i, texts[i]) for i in order], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash_trie.grouped_by_similarity(docs).collect()}
+    assert [got[2 * k] == got[2 * k + 1] for k in range(300)] == [x >= 0.8 for x in low]
+    assert len(set(got.values())) == 600 - links
+
+
+def test_a_bucket_of_many_texts_is_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash_trie, "BLOCK", 7)
+    keys = [(h, 10, [5, h], [h % 3] + [0] * 15) for h in range(100)]
+    texts = spark.createDataFrame(keys, "h long, size long, keys array<long>, sketch array<long>")
+    groups = spark.createDataFrame([(h, 0) for h in range(50)], "node long, component long")
+    got = {tuple(r) for r in simhash_trie.missed_pairs(texts, groups, 0.8).collect()}
+    assert got == {(a, b) for b in range(50, 100) for a in range(b)}
