@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from straitflow.session import scratch_path, scratch_root, staged
 
+#: Edges of a source that `page_rank` lists in one row, at most about so many.
+LISTED = 1 << 14
+
 
 def edge_list(df: DataFrame, src: Column, dst: Column, weight: Column) -> DataFrame:
     """One row per (src, dst): pre-aggregated, so repeated pairs never reach the iterations."""
@@ -44,9 +47,10 @@ def page_rank(
 
     ``rank = (1 - d) + d * sum(rank(src) * weight / out_weight(src))``
 
-    The edges are written once with their share of the source and a salt. A source with
-    many edges has them spread over ``degree / edges_per_salt`` salts and its rank is
-    repeated as often, so a hot node is not one task. Sums over the target combine on the
+    The edges are written once with their share of the source, and gathered to rows that list the targets of a
+    source: a round joins ranks with sources, not with edges, and lists are unfolded where they lie. A source with
+    many edges has them dealt to lists of about `edges_per_salt` or LISTED edges, each under a salt of its own, and
+    its rank is repeated as often, so a hot node is not one task. Sums over the target combine on the
     map side. Ranks are checkpointed every few rounds to cut lineage.
     """
     spark = edges.sparkSession
@@ -56,7 +60,7 @@ def page_rank(
     out = staged(
         edges.groupBy("src").agg(
             F.sum("weight").cast("double").alias("out_weight"),
-            F.ceil(F.count("*") / edges_per_salt).cast("int").alias("salts"),
+            F.ceil(F.count("*") / min(edges_per_salt, LISTED)).cast("int").alias("salts"),
         ),
         "out-weights",
     )
@@ -73,12 +77,11 @@ def page_rank(
         .write.parquet(path)
     )
     stored = spark.read.parquet(path)
-    # Placed and sorted once; every round then shuffles ranks only. A lost block is
-    # read again from the written edges.
+    # Placed once; every round then shuffles ranks and sums only. A lost block is read again from the written edges.
     links = (
-        stored.select("src", "dst", "share", "salt")
-        .repartition("src", "salt")
-        .sortWithinPartitions("src", "salt")
+        stored.groupBy("src", "salt")
+        .agg(F.collect_list(F.struct("dst", "share")).alias("targets"))
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src", "salt")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     links.count()  # or else the rounds of the first job would each place them
@@ -99,10 +102,14 @@ def page_rank(
             "rank",
             F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         )
-        received = links.join(spread, ["src", "salt"]).select(
-            F.col("dst").alias("node"),
-            F.lit(0).alias("salts"),
-            (F.col("rank") * F.col("share")).alias("received"),
+        received = (
+            links.join(spread, ["src", "salt"])
+            .select("rank", F.explode("targets").alias("to"))
+            .select(
+                F.col("to.dst").alias("node"),
+                F.lit(0).alias("salts"),
+                (F.col("rank") * F.col("to.share")).alias("received"),
+            )
         )
         # Every node contributes a zero, so nodes without incoming edges stay.
         ranks = (
