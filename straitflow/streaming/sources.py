@@ -75,8 +75,14 @@ def run_batches(
     query.awaitTermination()
 
 
-#: Files of a delivery, each read by a task of its own.
+#: Files of a delivery, each written and read by a task of its own, and rows of a file when there are more than so many.
 DELIVERY_FILES = 4
+FILE_ROWS = 500_000
+
+
+def files_for(parts: Sequence[DataFrame], rows_per_file: int = FILE_ROWS) -> int:
+    """Files that each of these deliveries takes, so that tasks are more and not longer when the largest one grows."""
+    return max(DELIVERY_FILES, *(-(-part.count() // rows_per_file) for part in parts))
 
 
 def deliver(parts: Sequence[DataFrame], path: str, files: int = DELIVERY_FILES) -> None:

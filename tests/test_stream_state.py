@@ -133,3 +133,9 @@ def test_asof_stream_edge_cases(spark, tmp_path):
     right = [[("a", at[1], 1.0), ("a", at[1], 7.0), ("a", None, 9.0), ("a", at[0], None), (None, at[1], 2.5)], []]
     got = asof_over(spark, tmp_path, left, right, "1 day", 3)
     assert rounded(got, ["k", "id", "value"]) == sorted([("a", 1, 7.0), ("a", 1, 7.0), (None, 3, 2.5), ("b", 4, None)], key=repr)
+
+
+def test_files_of_a_delivery_grow_with_its_rows(spark):
+    parts = [spark.range(n) for n in (3, 95, 0)]
+    assert sources.files_for(parts, rows_per_file=10) == 10
+    assert sources.files_for(parts) == sources.DELIVERY_FILES
