@@ -171,6 +171,25 @@ def test_store_without_rebalancing_holds_the_same_rows(spark, tmp_path):
     assert stores[0] == stores[1] and len(stores[0]) == 800
 
 
+def test_stored_rows_are_sorted_by_day_and_code_under_one_key(spark, tmp_path):
+    """Many keys would have wide rows compared with one another; one number has them sorted by its digits."""
+    path = str(tmp_path / "store")
+    seen = []
+    codes = F.element_at(F.array(*[F.lit(c) for c in ("19", "01", "", "2", "1\u00e9")], F.lit(None).cast("string")), F.pmod(F.hash("GLOBALEVENTID"), F.lit(6)) + 1)
+    rows = store_rows(spark, 400, 1).unionByName(store_rows(spark, 300, 2)).withColumn("EventRootCode", codes)
+    day = F.when(F.col("GLOBALEVENTID") % 50 != 0, F.lit(20240101) + F.pmod(F.hash("GLOBALEVENTID", F.lit(1)), F.lit(28)))
+    rows = rows.withColumn("SQLDATE", day.cast("int"))
+    events.write_event_store(rows, path)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    store = spark.read.parquet(path)
+    assert store.count() == 700 and store.where("year = 0").count() == rows.where("SQLDATE IS NULL").count()
+    for file in store.inputFiles():
+        seen.append([(str(r.event_date or ""), r.EventRootCode or "") for r in spark.read.parquet(file).collect()])
+    assert all(s == sorted(s) for s in seen) and max(len(s) for s in seen) > 100
+    wide = rows.withColumn("event_date", F.to_date(F.col("SQLDATE").cast("string"), "yyyyMMdd"))
+    assert wide.select(events._day_and_code().alias("key")).dtypes == [("key", "bigint")]
+
+
 def test_one_hot_month_is_split_over_tasks(spark, tmp_path):
     path = str(tmp_path / "store")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
