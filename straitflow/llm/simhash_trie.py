@@ -295,7 +295,7 @@ def similar_pairs(texts: DataFrame, width: int = SIMILAR_WIDTH) -> DataFrame:
     """
     half = F.when(F.col("at") % 2 == 0, F.expr("fps[at DIV 2] & -4294967296L")).otherwise(F.expr("shiftleft(fps[at DIV 2], 32)"))
     spread = texts.select("h", "fps", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("at"))
-    tables = staged(spread.select("h", "at", half.alias("fp")))
+    tables = spread.select("h", "at", half.alias("fp"))  # read twice, but twenty rows a text take less to make than to store
     first = staged(tables.groupBy("at", "fp").agg(F.min("h").alias("first")))
     equal = tables.join(first, ["at", "fp"]).where("h <> first").select(F.col("h").alias("a"), F.col("first").alias("b"))
     rows = math.ceil(first.count() / TABLES)
@@ -323,6 +323,17 @@ def common_shingles(rows: DataFrame, width: int = SIMILAR_WIDTH) -> tuple[np.nda
     return known[order], np.array([r.n for r in got], np.int64)[order]
 
 
+def with_groups(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with an h and `g`, their group: a component of node and component, or h itself for a text without links.
+
+    Only rows that likely have a link are shuffled; the others, most of a corpus, stay where they are.
+    """
+    likely = marked_by(texts, "h", groups.select(F.col("node").alias("h")))
+    linked = likely.where("marked").join(groups.withColumnRenamed("node", "h"), "h", "left")
+    linked = linked.select(*texts.columns, F.coalesce("component", "h").alias("g"))
+    return linked.unionAll(likely.where("NOT marked").select(*texts.columns, F.col("h").alias("g")))
+
+
 def missed_pairs(texts: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
     """a and b: all pairs of texts (h, size, keys, sketch) in different groups that may have the similarity.
 
@@ -330,8 +341,7 @@ def missed_pairs(texts: DataFrame, groups: DataFrame, similarity: float) -> Data
     differ in more bits than their sets may in shingles, cannot have it. Only keys that two groups have get their members.
     A bucket is cut into blocks and a task gets a pair of blocks, so none gets a whole large bucket.
     """
-    told = texts.join(groups.withColumnRenamed("node", "h"), "h", "left").withColumn("g", F.coalesce("component", "h"))
-    spread = told.select("h", "g", F.explode("keys").alias("key"))
+    spread = with_groups(texts.select("h", "keys"), groups).select("h", "g", F.explode("keys").alias("key"))
     crossing = spread.groupBy("key").agg(F.min("g").alias("least"), F.max("g").alias("most"), F.count(F.lit(1)).alias("n"))
     crossing = staged(crossing.where("least <> most").select("key", "n"))
     members = marked_by(spread, "key", crossing.select("key")).where("marked").select("h", "g", "key").join(crossing, "key")

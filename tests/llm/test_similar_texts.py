@@ -119,3 +119,17 @@ def test_a_bucket_of_many_texts_is_cut_into_blocks(spark, monkeypatch):
     groups = spark.createDataFrame([(h, 0) for h in range(50)], "node long, component long")
     got = {tuple(r) for r in simhash_trie.missed_pairs(texts, groups, 0.8).collect()}
     assert got == {(a, b) for b in range(50, 100) for a in range(b)}
+
+
+def test_texts_without_links_are_not_shuffled(spark):
+    texts = spark.range(20_000).select(F.col("id").alias("h"), F.array("id").alias("keys")).repartition(3)
+    groups = spark.createDataFrame([(5, 5), (7, 5), (9, 9), (30_000, 9)], "node long, component long")
+    got = simhash_trie.with_groups(texts, groups)
+    assert {(r.h, r.g) for r in got.where("h <> g").collect()} == {(7, 5)}
+    assert got.count() == 20_000 and all(list(r["keys"]) == [r.h] for r in got.take(50))
+    # The rows that a join meets are those marked; the others come by the second part of a union.
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joined = next(k for k, row in enumerate(plan) if "Join LeftOuter" in row and "node" in row or "Join LeftOuter, (h" in row)
+    assert plan[0].startswith("Union") and any("Filter" in row for row in plan[joined : joined + 4])
+    few = simhash_trie.with_groups(texts, groups.limit(0))
+    assert few.where("h = g").count() == 20_000
