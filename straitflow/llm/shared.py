@@ -18,6 +18,9 @@ from straitflow.session import scratch_root
 
 _shipped: set[str] = set()
 
+#: Edges of a partition in `components`, as far as the session's partitions are not larger anyway.
+EDGES = 100_000
+
 
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once per application, as --py-files would."""
@@ -55,7 +58,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     Each round points every node and its neighbours to the smallest of them, first from the side of the larger
     nodes and then from the smaller ones, which halves the depth of the trees; it ends when all trees are
     stars. Minima are taken ahead of the shuffle; in the joins the edges of a hub stream past one row, and
-    are never gathered.
+    are never gathered. A shuffle leaves files for every task that writes to it, so what little edges there are lie
+    in few partitions, one per EDGES of them.
     """
     pairs = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where(
         F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v"))
@@ -63,17 +67,19 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     pairs = staged(
         pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
+    few = 1 + pairs.count() // EDGES
+    pairs = pairs.coalesce(few)
     before = None
     while True:
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: larger neighbours point to the smallest one.
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.unionAll(least.where("u > m").select("u", F.col("m").alias("v"))).distinct()
+        large = large.unionAll(least.where("u > m").select("u", F.col("m").alias("v"))).coalesce(2 * few).distinct().coalesce(2 * few)
         # Small star: a node and its smaller neighbours point to the smallest of them.
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
-        pairs = staged(small.unionAll(lowest.select("u", F.col("m").alias("v"))).distinct())
+        pairs = staged(small.unionAll(lowest.select("u", F.col("m").alias("v"))).coalesce(few).distinct().coalesce(few))
         now = pairs.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h")
         ).first()
@@ -81,7 +87,7 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
             break
         before = now
     out = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct().coalesce(few)
     return out.unionAll(roots)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from straitflow.llm import simhash_trie
-from straitflow.llm.shared import ship
+from straitflow.llm.shared import components, ship
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -133,3 +133,21 @@ def test_texts_without_links_are_not_shuffled(spark):
     assert plan[0].startswith("Union") and any("Filter" in row for row in plan[joined : joined + 4])
     few = simhash_trie.with_groups(texts, groups.limit(0))
     assert few.where("h = g").count() == 20_000
+
+
+def test_few_edges_lie_in_few_partitions(spark, monkeypatch):
+    """Else each of a round's shuffles leaves a file for every one of the session's partitions."""
+    edges = [(k, k + 1) for k in range(300) if k % 10 != 9] + [(500, 299), (7, 7), (None, 3)]
+    monkeypatch.setattr("straitflow.llm.shared.EDGES", 200)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "50"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = components(spark.createDataFrame(edges, "a long, b long"))
+        assert found.rdd.getNumPartitions() <= 6
+        got = {(r.node, r.component) for r in found.collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == {(k, k // 10 * 10) for k in range(300)} | {(500, 290)}
