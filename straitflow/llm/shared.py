@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import straitflow
@@ -59,7 +59,8 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     nodes and then from the smaller ones, which halves the depth of the trees; it ends when all trees are
     stars. Minima are taken ahead of the shuffle; in the joins the edges of a hub stream past one row, and
     are never gathered. A shuffle leaves files for every task that writes to it, so what little edges there are lie
-    in few partitions, one per EDGES of them.
+    in few partitions, one per EDGES of them. Rounds over a single partition take minima by window and neither shuffle
+    nor broadcast: the driver keeps a thread for a minute for each of these, and short rounds would start hundreds in it.
     """
     pairs = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where(
         F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v"))
@@ -71,15 +72,7 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     pairs = pairs.coalesce(few)
     before = None
     while True:
-        both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        # Large star: larger neighbours point to the smallest one.
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.unionAll(least.where("u > m").select("u", F.col("m").alias("v"))).coalesce(2 * few).distinct().coalesce(2 * few)
-        # Small star: a node and its smaller neighbours point to the smallest of them.
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
-        pairs = staged(small.unionAll(lowest.select("u", F.col("m").alias("v"))).coalesce(few).distinct().coalesce(few))
+        pairs = staged(_round_of_few(pairs) if few == 1 else _round(pairs, few)).coalesce(few)
         now = pairs.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h")
         ).first()
@@ -91,6 +84,29 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     return out.unionAll(roots)
 
 
+def _round(pairs: DataFrame, few: int) -> DataFrame:
+    both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Large star: larger neighbours point to the smallest one.
+    large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    large = large.unionAll(least.where("u > m").select("u", F.col("m").alias("v"))).coalesce(2 * few).distinct().coalesce(2 * few)
+    # Small star: a node and its smaller neighbours point to the smallest of them.
+    lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
+    return small.unionAll(lowest.select("u", F.col("m").alias("v"))).coalesce(few).distinct().coalesce(few)
+
+
+def _round_of_few(pairs: DataFrame) -> DataFrame:
+    """The same of edges in a single partition, EDGES at most."""
+    least = F.min("v").over(Window.partitionBy("u"))
+    ends = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+    both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(1)
+    near = both.select("u", F.greatest("u", "v").alias("v"), F.least("u", least).alias("m"))
+    large = near.select(ends.alias("x")).select("x.u", "x.v").where("u > v").distinct()
+    small = large.select("u", "v", least.alias("m")).select(ends.alias("x")).select("x.u", "x.v")
+    return small.where("u > v").distinct()
+
+
 def marked_by(frame: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """The frame and `marked`: true for every row whose key is among the keys, and for few others.
 

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from straitflow.llm import simhash_trie
+from straitflow.llm import shared, simhash_trie
 from straitflow.llm.shared import components, ship
 
 
@@ -151,3 +151,19 @@ def test_few_edges_lie_in_few_partitions(spark, monkeypatch):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert got == {(k, k // 10 * 10) for k in range(300)} | {(500, 290)}
+
+
+def test_rounds_over_few_edges_neither_shuffle_nor_broadcast(spark, monkeypatch):
+    """Else the driver starts a thread for each of them, hundreds within a minute on small tables."""
+    plans, real = [], shared.staged
+
+    def staged(frame):
+        out = real(frame)
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(shared, "staged", staged)
+    edges = [(k, k + 1) for k in range(300) if k % 10 != 9] + [(500, 299), (7, 7), (None, 3)]
+    got = {(r.node, r.component) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(k, k // 10 * 10) for k in range(300)} | {(500, 290)}
+    assert len(plans) > 2 and not [p for p in plans[1:] if "Exchange" in p]
