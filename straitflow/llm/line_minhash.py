@@ -82,6 +82,28 @@ def shingle_hashes(codes: np.ndarray) -> np.ndarray:
     return x
 
 
+def shingle_sets(lines: Sequence[str]) -> Iterator[np.ndarray]:
+    """Each line's different shingles as sorted 64-bit hashes; a line shorter than a shingle is one itself."""
+    first = 0
+    while first < len(lines):
+        last, size = first + 1, len(lines[first])
+        while last < len(lines) and size + len(lines[last]) <= CHUNK:
+            size, last = size + len(lines[last]), last + 1
+        codes = np.frombuffer("".join(lines[first:last]).encode("utf-32-le"), np.uint32)
+        hashes = shingle_hashes(codes) if size >= SHINGLE else np.empty(0, np.uint64)
+        at = 0
+        for line in lines[first:last]:
+            if len(line) < SHINGLE:
+                yield np.array([hash(line) % 2**64], np.uint64)
+            else:
+                x = np.sort(hashes[at : at + len(line) - SHINGLE + 1])
+                new = np.ones(len(x), bool)
+                np.not_equal(x[1:], x[:-1], out=new[1:])
+                yield x[new]
+            at += len(line)
+        first = last
+
+
 def band_keys(codes: np.ndarray, ends: np.ndarray, seed: int = 17) -> np.ndarray:
     """The bucket keys, a row each, of lines of SHINGLE code points or more that follow one another and end there."""
     draw = np.random.default_rng(seed).integers(0, 2**31, (2, BANDS * ROWS), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -149,20 +171,18 @@ def grams(line: str, n: int = SHINGLE) -> Column:
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose lines' shingle sets have at least the similarity."""
 
-    def shingles(line: str) -> set[str]:
-        return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, right = None, set()
         for batch in batches:
-            b = batch.column(1).to_pylist()
+            b = batch.column(1).to_numpy()
+            new = np.append(True, b[1:] != b[:-1])[: len(b)]  # sorted by the join, or nearly
+            others = shingle_sets(batch.column(3).filter(pa.array(new)).to_pylist())
             kept = []
-            for k, (line, other) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                if b[k] != last:  # sorted by the join, or nearly
-                    last, right = b[k], shingles(other)
-                left = shingles(line)
-                common = len(left & right)
-                if common >= similarity * (len(left) + len(right) - common):
+            for k, left in enumerate(shingle_sets(batch.column(2).to_pylist())):
+                if new[k]:
+                    right = next(others)
+                both = np.sort(np.concatenate([left, right]))
+                common = np.count_nonzero(both[1:] == both[:-1])
+                if common >= similarity * (len(both) - common):
                     kept.append(k)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(kept, pa.int64())) for c in batch.columns[:2]], ["a", "b"])
         give_back()

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from straitflow.llm import shared, simhash_trie
+from straitflow.llm import line_minhash, shared, simhash_trie
 from straitflow.llm.shared import components, ship
 
 
@@ -167,3 +167,14 @@ def test_rounds_over_few_edges_neither_shuffle_nor_broadcast(spark, monkeypatch)
     got = {(r.node, r.component) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {(k, k // 10 * 10) for k in range(300)} | {(500, 290)}
     assert len(plans) > 2 and not [p for p in plans[1:] if "Exchange" in p]
+
+
+def test_shingles_of_many_lines_are_those_of_each(monkeypatch):
+    monkeypatch.setattr(line_minhash, "CHUNK", 64)
+    rng = random.Random(7)
+    lines = ["".join(rng.choice("abé\U0001f600 ") for _ in range(rng.choice([0, 1, 7, 8, 9, 40, 200]))) for _ in range(300)]
+    found = list(line_minhash.shingle_sets(lines))
+    brute = [{line[i : i + 8] for i in range(max(1, len(line) - 7))} for line in lines]
+    assert [len(x) for x in found] == [len(x) for x in brute]
+    for k in range(1, len(lines)):
+        assert len(set(found[k].tolist()) & set(found[k - 1].tolist())) == len(brute[k] & brute[k - 1])
