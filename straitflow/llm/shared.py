@@ -18,6 +18,9 @@ from straitflow.session import scratch_root
 
 _shipped: set[str] = set()
 
+#: Whether Spark removes the shuffle files of a plan that has run.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Edges of a partition in `components`, as far as the session's partitions are not larger anyway.
 EDGES = 100_000
 
@@ -47,9 +50,22 @@ def give_back() -> None:
 
 
 def staged(frame: DataFrame) -> DataFrame:
-    """The frame, computed once and kept in the folder of spark.checkpoint.dir, so that it outlives executors."""
-    scratch_root(frame.sparkSession)
-    return frame.checkpoint()
+    """The frame, computed once and kept in the folder of spark.checkpoint.dir, so that it outlives executors.
+
+    What it has shuffled is removed as soon as it is kept, not when the driver happens to collect its garbage. Only the run
+    made here does so: a plan takes the setting when it is made, and this one is not run again.
+    """
+    spark = frame.sparkSession
+    scratch_root(spark)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return frame.select("*").checkpoint()
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:

@@ -66,21 +66,18 @@ def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
     return keyed(docs).select("doc_id", "h", "text").mapInArrow(run, "doc_id long, h long, fp long")
 
 
-def links(distinct: DataFrame, budget: int = 2, leaf_rows: int = 4096, by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
-    """a and b: edges whose components are those of all fingerprints in `fp` at most `budget` bits apart.
-
-    With columns `by`, fingerprints are linked within each value of these, and `rows` is their number in one of them.
-    """
-    rows = distinct.count() if rows is None else rows
+def links(distinct: DataFrame, budget: int = 2, leaf_rows: int = 4096) -> DataFrame:
+    """a and b: edges whose components are those of all fingerprints in `fp` at most `budget` bits apart."""
+    rows = distinct.count()
     depth = max(0, min(14, math.ceil(math.log2(max(1, rows) / leaf_rows))))
     flips = [sum(1 << i for i in bits) for n in range(min(budget, depth) + 1) for bits in combinations(range(depth), n)]
     prefix = F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("long")
-    sent = distinct.select(*by, prefix.alias("own"), "fp").select(
-        *by, "own", F.explode(F.array(*[F.lit(x).cast("long") for x in flips])).alias("flip"), "fp"
+    sent = distinct.select(prefix.alias("own"), "fp").select(
+        "own", F.explode(F.array(*[F.lit(x).cast("long") for x in flips])).alias("flip"), "fp"
     )
     other = F.col("own").bitwiseXOR(F.col("flip"))
     cells = sent.select(
-        *by, F.least("own", other).alias("low"), F.greatest("own", other).alias("high"), (F.col("own") > other).alias("right"), "fp"
+        F.least("own", other).alias("low"), F.greatest("own", other).alias("high"), (F.col("own") > other).alias("right"), "fp"
     )
 
     def walk(group: pa.Table) -> pa.Table:
@@ -93,23 +90,31 @@ def links(distinct: DataFrame, budget: int = 2, leaf_rows: int = 4096, by: Seque
             a, b = np.sort(fps[~right]), np.sort(fps[right])
         u, v = forest(a, b, depth, (low ^ high).bit_count(), budget)
         give_back()
-        keys = {c: pa.array([group.column(c)[0].as_py()] * len(u), group.schema.field(c).type) for c in by}
-        return pa.table({**keys, "a": u.view(np.int64), "b": v.view(np.int64)})
+        return pa.table({"a": u.view(np.int64), "b": v.view(np.int64)})
 
-    kinds = dict(distinct.dtypes)
-    schema = ", ".join([*[f"{c} {kinds[c]}" for c in by], "a long, b long"])
-    return cells.groupBy(*by, "low", "high").applyInArrow(walk, schema)
+    return cells.groupBy("low", "high").applyInArrow(walk, "a long, b long")
 
 
 def forest(a: np.ndarray, b: np.ndarray, depth: int, differing: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Walks two sorted tries that differ in so many bits above `depth`; a spanning forest of the pairs found."""
+    every = a if a is b else np.concatenate([a, b])
+    u, v = walked(a, b, (depth, *(np.array([x]) for x in (0, len(a), 0, len(b), differing))), budget)
+    return every[u], every[v]
+
+
+def walked(
+    a: np.ndarray, b: np.ndarray, start: tuple[int, *tuple[np.ndarray, ...]], budget: int, others: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a (and b behind it) of the edges of a spanning forest of the pairs found below pairs of nodes.
+
+    With `others`, 64 more bits of each leaf of a walk of one trie, only pairs count that `agrees` in these.
+    """
     same = a is b
-    every = a if same else np.concatenate([a, b])
     shift = 0 if same else len(a)
-    parent = np.arange(len(every))
+    parent = np.arange(len(a) + (0 if same else len(b)))
     edges: list[tuple[int, int]] = []
     # Pairs of nodes: ranges in a and in b, and bits that differ so far. A stack keeps the frontier bounded.
-    stack = [(depth, *(np.array([x]) for x in (0, len(a), 0, len(b), differing)))]
+    stack = [start]
     while stack:
         bit, alo, ahi, blo, bhi, diff = stack.pop()
         keep = (alo < ahi) & (blo < bhi) & (diff <= budget)
@@ -126,6 +131,8 @@ def forest(a: np.ndarray, b: np.ndarray, depth: int, differing: int, budget: int
         if single.any():
             i, j = alo[single], blo[single]
             near = np.bitwise_count(a[i] ^ b[j]) <= budget
+            if others is not None:
+                near &= agrees(others[i], others[j])
             _join(parent, edges, i[near], j[near] + shift)
             alo, ahi, blo, bhi, diff = (x[~single] for x in (alo, ahi, blo, bhi, diff))
         if bit == BITS or not len(alo):
@@ -143,7 +150,7 @@ def forest(a: np.ndarray, b: np.ndarray, depth: int, differing: int, budget: int
             )
         )
     u, v = np.array(edges, np.int64).reshape(-1, 2).T
-    return every[u], every[v]
+    return u, v
 
 
 def _split(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: int) -> np.ndarray:
@@ -218,6 +225,18 @@ def _firsts(docs: DataFrame, rows: DataFrame, carry: Sequence[str]) -> DataFrame
 TABLES, TABLE_BITS, TABLE_BUDGET = 20, 32, 2
 SIMILARITY, SIMILAR_WIDTH = 0.8, 5
 
+#: First bits of the blocks of a fingerprint: two that differ in no more bits than TABLE_BUDGET have one of them in common.
+BLOCKS = [-(-TABLE_BITS * k // (TABLE_BUDGET + 1)) for k in range(TABLE_BUDGET + 1)]
+
+#: Bits of 64 of another table's fingerprints in which a pair may differ beside: 10 do at the similarity, 32 of unlike texts.
+OTHER_BUDGET = 20
+
+#: A row of a cell of a table: the fingerprint, its text, and 64 bits of other tables.
+ROW = np.dtype([("fp", "<u4"), ("h", "<i8"), ("other", "<u8")])
+
+#: Texts whose fingerprints are packed at a time, and of a cell on average.
+TAKEN, CELL = 1 << 16, 1 << 15
+
 #: 64-bit words of a text's sketch, and texts of a block of a bucket.
 SKETCH_WORDS, BLOCK = 16, 1024
 
@@ -286,23 +305,109 @@ def parity_sketch(base: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def agrees(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether bits of other tables are as near as those of texts of the similarity; of unlike texts, 0.2 % are."""
+    return np.bitwise_count(left ^ right) <= OTHER_BUDGET
+
+
+def turned(fps: np.ndarray, block: int) -> np.ndarray:
+    """Fingerprints of a table, turned so that a block comes first."""
+    by = BLOCKS[block]
+    return fps << np.uint32(by) | fps >> np.uint32(TABLE_BITS - by) if by else fps
+
+
+def table_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """Table by table, its number and the rows of up to TAKEN texts and a batch, of batches of h and fps."""
+    taken: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def rows() -> Iterator[tuple[int, np.ndarray]]:
+        h, words = (np.concatenate(x) for x in zip(*taken, strict=True))
+        for at in range(TABLES):
+            out = np.empty(len(h), ROW)
+            out["fp"] = words[:, at // 2] & np.uint64(0xFFFFFFFF) if at % 2 else words[:, at // 2] >> np.uint64(32)
+            out["h"], out["other"] = h, words[:, (at // 2 + 1) % words.shape[1]]
+            yield at, out
+
+    for batch in batches:
+        words = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        if batch.num_rows:
+            taken.append((batch.column(0).to_numpy(), words.reshape(batch.num_rows, -1)))
+        if sum(len(h) for h, _ in taken) >= TAKEN:
+            yield from rows()
+            taken.clear()
+    if taken:
+        yield from rows()
+
+
+def leaves(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of different fingerprints, with the smallest text of each, and pairs of it and the others of the fingerprint."""
+    rows = rows[np.lexsort((rows["h"], rows["fp"]))]
+    first = np.ones(len(rows), bool)
+    first[1:] = rows["fp"][1:] != rows["fp"][:-1]
+    lead = rows[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    near = ~first & agrees(rows["other"], lead["other"])
+    return rows[first], lead["h"][near], rows["h"][near]
+
+
+def near_leaves(rows: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts of a spanning forest of rows of different fingerprints, within the budget and equal in the block: the trie is
+    walked from the nodes that the block leads to."""
+    fps = turned(rows["fp"], block).astype(np.uint64) << np.uint64(BITS - TABLE_BITS)
+    order = np.argsort(fps)
+    fps, rows = fps[order], rows[order]
+    width = [*BLOCKS, TABLE_BITS][block + 1] - BLOCKS[block]
+    top = fps >> np.uint64(BITS - width)
+    low = np.flatnonzero(np.append(True, top[1:] != top[:-1]))
+    high = np.append(low[1:], len(fps))
+    u, v = walked(fps, fps, (width, low, high, low, high, np.zeros_like(low)), TABLE_BUDGET, rows["other"])
+    return rows["h"][u], rows["h"][v]
+
+
 def similar_pairs(texts: DataFrame, width: int = SIMILAR_WIDTH) -> DataFrame:
     """a and b: candidates among rows of h and fps, different texts. Each table is a trie that is joined with itself.
 
     Texts of equal fingerprints in a table meet the first of them, and the first ones of fingerprints within the
-    budget meet along a spanning forest, so a group of n texts costs a table n pairs. A pair that a table
-    does not name for this has the other tables.
+    budget meet along a spanning forest, so a group of n texts costs a table few pairs a text. A pair that a table
+    does not name for this, or as other tables speak against it, has these; only time depends on it.
+
+    Fingerprints within the budget are equal in one of BLOCKS, so each is sent to three cells, however many there are: by
+    its table and the first bits of a block. A task sends rows of 20 bytes, packed by cell, once for equal fingerprints.
     """
-    half = F.when(F.col("at") % 2 == 0, F.expr("fps[at DIV 2] & -4294967296L")).otherwise(F.expr("shiftleft(fps[at DIV 2], 32)"))
-    spread = texts.select("h", "fps", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("at"))
-    tables = spread.select("h", "at", half.alias("fp"))  # read twice, but twenty rows a text take less to make than to store
-    first = staged(tables.groupBy("at", "fp").agg(F.min("h").alias("first")))
-    equal = tables.join(first, ["at", "fp"]).where("h <> first").select(F.col("h").alias("a"), F.col("first").alias("b"))
-    rows = math.ceil(first.count() / TABLES)
-    near = links(first.select("at", "fp"), TABLE_BUDGET, leaf_rows=1 << 16, by=("at",), rows=rows)
-    ends = [first.select("at", F.col("fp").alias(c), F.col("first").alias(f"{c}_h")) for c in ("a", "b")]
-    near = near.join(ends[0], ["at", "a"]).join(ends[1], ["at", "b"]).select(F.col("a_h").alias("a"), F.col("b_h").alias("b"))
-    both = equal.unionAll(near).where("a <> b")
+    texts = texts.select("h", "fps")
+    bits = min(b - a for a, b in zip(BLOCKS, [*BLOCKS[1:], TABLE_BITS], strict=True))
+    depth = max(0, min(bits, math.ceil(math.log2(max(1, texts.count()) / CELL))))
+
+    def equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in table_rows(batches):
+            _, a, b = leaves(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        give_back()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, rows in table_rows(batches):
+            kept, out = leaves(rows)[0], []
+            for block in range(len(BLOCKS)):
+                cell = turned(kept["fp"], block).astype(np.int64) >> (TABLE_BITS - depth)
+                order = np.argsort(cell, kind="stable")
+                found, starts = np.unique(cell[order], return_index=True)
+                parts = np.split(kept[order], starts[1:])
+                out += [(at, c, block, x.tobytes()) for c, x in zip(found.tolist(), parts, strict=True)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["at", "cell", "block", "rows"])
+        give_back()
+
+    def walk(group: pa.Table) -> pa.Table:
+        edges, blocks = [], group.column("block").to_numpy()
+        for block in np.unique(blocks).tolist():
+            packed = group.column("rows").take(pa.array(np.flatnonzero(blocks == block))).to_pylist()
+            kept, a, b = leaves(np.frombuffer(b"".join(packed), ROW))
+            edges += [near_leaves(kept, block), *([] if block else [(a, b)])]  # equal ones meet in all three
+        give_back()
+        return pa.table({c: np.concatenate(x) for c, x in zip("ab", zip(*edges, strict=True), strict=True)})
+
+    cells = texts.mapInArrow(deal, "at int, cell int, block int, rows binary")
+    near = cells.groupBy("at", "cell").applyInArrow(walk, "a long, b long")
+    both = texts.mapInArrow(equal, "a long, b long").unionAll(near).where("a <> b")
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -338,17 +443,20 @@ def missed_pairs(texts: DataFrame, groups: DataFrame, similarity: float) -> Data
     """a and b: all pairs of texts (h, size, keys, sketch) in different groups that may have the similarity.
 
     Texts of the similarity share a key of `prefix`, so no pair is left out; those of sizes too far apart, or with sketches that
-    differ in more bits than their sets may in shingles, cannot have it. Only keys that two groups have get their members.
+    differ in more bits than their sets may in shingles, cannot have it, nor those with too few keys in common: what two texts
+    share beyond the last key of one of them is among the shingles of that one that are no keys. Long texts, whose sketches
+    tell little, share keys by chance, the more pairs of them the more texts there are; but they need many. Only keys that
+    two groups have get their members.
     A bucket is cut into blocks and a task gets a pair of blocks, so none gets a whole large bucket.
     """
     spread = with_groups(texts.select("h", "keys"), groups).select("h", "g", F.explode("keys").alias("key"))
     crossing = spread.groupBy("key").agg(F.min("g").alias("least"), F.max("g").alias("most"), F.count(F.lit(1)).alias("n"))
     crossing = staged(crossing.where("least <> most").select("key", "n"))
     members = marked_by(spread, "key", crossing.select("key")).where("marked").select("h", "g", "key").join(crossing, "key")
-    sketched = texts.select("h", "size", *[F.col("sketch")[k].alias(f"w{k}") for k in range(SKETCH_WORDS)])
+    sketched = texts.select("h", "size", (F.col("size") - F.size("keys")).alias("others"), *[F.col("sketch")[k].alias(f"w{k}") for k in range(SKETCH_WORDS)])
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = staged(members).join(sketched, "h").withColumn("own", F.pmod(F.hash("h"), blocks)).withColumn("last", blocks - 1)
-    kept = ["key", "h", "g", "size", *[f"w{k}" for k in range(SKETCH_WORDS)]]
+    kept = ["key", "h", "g", "size", "others", *[f"w{k}" for k in range(SKETCH_WORDS)]]
     low = rows.select(*kept, F.col("own").alias("i"), F.explode(F.sequence("own", "last")).alias("j")).alias("x")
     high = rows.select(*kept, F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j")).alias("y")
     differing = sum((F.bit_count(F.col(f"x.w{k}").bitwiseXOR(F.col(f"y.w{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
@@ -359,7 +467,10 @@ def missed_pairs(texts: DataFrame, groups: DataFrame, similarity: float) -> Data
     once = (F.col("x.i") < F.col("x.j")) | (F.col("x.h") < F.col("y.h"))
     same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "i", "j")]
     found = low.join(high, [*same, F.col("x.g") != F.col("y.g"), once, possible])
-    return found.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct()
+    shared = F.ceil(similarity / (1 + similarity) * (sizes[0] + sizes[1]) - 1e-6) - F.greatest("x.others", "y.others")
+    found = found.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"), shared.alias("least"))
+    met = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("least").alias("least"))
+    return met.where("n >= least").select("a", "b")
 
 
 def alike(pairs: DataFrame, texts: DataFrame, similarity: float, width: int = SIMILAR_WIDTH) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,3 +180,82 @@ def test_shingles_of_many_lines_are_those_of_each(monkeypatch):
     assert [len(x) for x in found] == [len(x) for x in brute]
     for k in range(1, len(lines)):
         assert len(set(found[k].tolist()) & set(found[k - 1].tolist())) == len(brute[k] & brute[k - 1])
+
+
+def connected(n, edges):
+    """For each of n places, the smallest one that the edges reach."""
+    least = list(range(n))
+    for _ in range(n):
+        before = list(least)
+        for i, j in edges:
+            least[i] = least[j] = min(least[i], least[j])
+        if least == before:
+            return least
+    return least
+
+
+def test_blocks_of_a_table_name_all_that_the_budget_links():
+    rng = random.Random(8)
+    base, fps = [rng.getrandbits(32) for _ in range(30)], set()
+    for _ in range(500):
+        x = rng.choice(base)
+        for _ in range(rng.randrange(5)):
+            x ^= 1 << rng.randrange(32)
+        fps.add(x)
+    rows = np.zeros(len(fps), simhash_trie.ROW)
+    rows["fp"], rows["h"] = sorted(fps), range(len(fps))
+    assert all((simhash_trie.turned(rows["fp"], b) != rows["fp"]).any() == (b > 0) for b in range(3))
+    edges = [e for b in range(3) for e in zip(*(x.tolist() for x in simhash_trie.near_leaves(rows, b)), strict=True)]
+    fps = sorted(fps)
+    near = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    assert len(near) > 300 and connected(len(fps), edges) == connected(len(fps), near)
+
+
+def test_pairs_are_the_same_in_few_cells_and_many(spark, monkeypatch):
+    texts = near_copies(9, 100, (40, 120))
+    fps = spark.createDataFrame([(h, simhash_trie.wide_fingerprint(t)) for h, t in enumerate(texts)], "h long, fps array<long>").repartition(3)
+    few = [tuple(r) for r in simhash_trie.similar_pairs(fps).collect()]
+    monkeypatch.setattr(simhash_trie, "CELL", 1)
+    many = [tuple(r) for r in simhash_trie.similar_pairs(fps).collect()]
+    assert len(few) > 150 and connected(400, few) == connected(400, many)
+    assert simhash_trie.similar_pairs(fps.limit(0)).count() == 0
+
+
+def test_few_texts_alike_in_one_table_by_chance_are_a_pair(spark):
+    """The more texts there are, the more of such pairs, each of which would take both texts along."""
+    rng = random.Random(12)
+    word = lambda: rng.getrandbits(64) - (1 << 63)
+    rows = [(h, [h % 40 << 34 | 7, *(word() for _ in range(9))]) for h in range(200)]
+    alike = [(1000 + h, [fps[0], *(x ^ 1 << 40 for x in fps[1:])]) for h, fps in rows[:50]]
+    got = {tuple(r) for r in simhash_trie.similar_pairs(spark.createDataFrame(rows + alike, "h long, fps array<long>")).collect()}
+    named = {(h, 1000 + h) for h in range(50)}
+    assert named <= got and len(got - named) < 10  # without the other tables, hundreds
+
+
+def test_long_texts_with_a_few_keys_in_common_are_no_pair(spark):
+    """The sketches of long texts tell nothing; texts of the similarity have hundreds of their keys in common."""
+    size, kept = 5000, 1001
+    least = -(-8 * 2 * size // 18) - (size - kept)  # keys that two such texts share, if what is no key of theirs is all the same
+    own = lambda h, n: [10_000 * (h + 1) + k for k in range(n)]
+    shared = {0: [1], 1: [1], 2: [1, *range(100, 99 + least)], 3: range(100, 99 + least), 4: range(99, 99 + least), 5: range(99, 99 + least)}
+    keys = [(h, size, [*x, *own(h, kept - len(x))], [0x5555555555555555] * 16) for h, x in shared.items()]
+    texts = spark.createDataFrame(keys, "h long, size long, keys array<long>, sketch array<long>")
+    groups = spark.createDataFrame([], "node long, component long")
+    assert {tuple(r) for r in simhash_trie.missed_pairs(texts, groups, 0.8).collect()} == {(4, 5)}
+
+
+def test_shuffle_files_go_when_a_frame_is_kept(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in (f.getName() for f in _seq(disk.getAllFiles())) if x.startswith("shuffle_")}
+    before, set_to = files(), spark.conf.get(shared.CLEANUP, None)
+    kept = shared.staged(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    for _ in range(50):  # they go in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(shared.CLEANUP, None) == set_to
+    assert sorted(tuple(r) for r in kept.collect()) == [(k, 100) for k in range(10)]
+
+
+def _seq(scala):
+    return [scala.apply(k) for k in range(scala.length())]
