@@ -232,7 +232,8 @@ def fit_forest(
     partitions: int = PARTITIONS,
 ) -> PipelineModel:
     stages = [assembler(inputs), forest(num_trees, max_depth)]
-    return Pipeline(stages=stages).fit(stable_rows(train, partitions))
+    # A copy has no training summary: that of two classes holds the session, which can't be sent to tasks once it has observed a frame.
+    return Pipeline(stages=stages).fit(stable_rows(train, partitions)).copy()
 
 
 def train_best(

@@ -5,6 +5,7 @@ from datetime import date, timedelta
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from straitflow.config import MODEL_INPUTS
@@ -109,3 +110,10 @@ def test_ablation_has_a_row_per_subset_and_split(spark):
     assert {(r.inputs, r.split) for r in out} == {
         (i, s) for i in ("all", "macro") for s in ("validation", "test")
     }
+
+
+def test_forest_of_two_classes_predicts_in_a_session_that_has_observed(spark):
+    spark.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    data = spark.createDataFrame(rows(60), SCHEMA).where("label < 2")
+    fitted = training.fit_forest(data, num_trees=2, max_depth=2)
+    assert {r.prediction for r in fitted.transform(data).select("prediction").collect()} <= {0.0, 1.0}
